@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staytally.functions.scalars import _col, strict_date
 
 
-def strict_json(body: Column | str) -> Column:
-    """VARIANT of exactly one JSON document, else NULL.
+def with_strict_json(frame: DataFrame, body: Column | str, name: str) -> DataFrame:
+    """Add a VARIANT column: the one JSON document in ``body``, else NULL.
 
     VARIANT already refuses repeated keys and NaN, but it ignores text after the
     document. Parsing the body as the first of two array elements exposes that:
     anything but one document moves or hides the closing mark, which is random
     so that no body can supply it.
+
+    Each step is a column of its own, so the optimizer keeps them apart and a
+    body is parsed once however often the result is used.
     """
     mark = uuid4().hex
     text = F.try_validate_utf8(_col(body).cast("string"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]')))
-    pair = F.try_variant_get(wrapped, "$", "array<variant>")
-    closed = (F.size(pair) == 2) & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "string") == mark)
-    return F.when(closed, F.get(pair, F.lit(0)))
+    pair = frame.withColumn("_wrapped", wrapped).withColumn(
+        "_pair", F.try_variant_get("_wrapped", "$", "array<variant>")
+    )
+    last = F.try_variant_get(F.get("_pair", F.lit(1)), "$", "string")
+    closed = (F.size("_pair") == 2) & (last == mark)
+    document = F.when(closed, F.get("_pair", F.lit(0)))
+    return pair.withColumn(name, document).drop("_wrapped", "_pair")
 
 
 def variant_type(value: Column | str) -> Column:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from staytally.sources.pages import number_rows
+from staytally.workspace import Workspace
+
 
 def run_summary(batch: DataFrame, sink: str) -> DataFrame:
     """One row per snapshot day of the run."""
@@ -23,16 +26,20 @@ def reconcile(table: DataFrame, expected: int | Column) -> DataFrame:
     )
 
 
-def run_statistics(measurements: DataFrame, by: str, value: str) -> DataFrame:
-    """Exact median, minimum and maximum of a measurement.
+def run_statistics(
+    measurements: DataFrame, by: str, value: str, workspace: Workspace
+) -> DataFrame:
+    """Exact median, minimum and maximum of a measurement per group.
 
-    Equal measurements are counted before the shuffle, so the exact median needs
-    each distinct value once and not every row.
+    The values are ranked across range partitions: ``percentile`` would hold all
+    distinct values of a group in one task.
     """
-    distinct = measurements.groupBy(by, value).agg(F.count("*").alias("_n"))
-    return distinct.groupBy(by).agg(
-        F.sum("_n").alias("runs"),
-        F.percentile(value, 0.5, "_n").alias("median_value"),
+    known = measurements.select(by, value).where(F.col(value).isNotNull())
+    ranked = number_rows(known, by, [value], workspace)
+    middle = F.abs(F.col("position") * 2 - (F.col("total") - 1)) <= 1
+    return ranked.groupBy(by).agg(
+        F.max("total").alias("runs"),
+        F.avg(F.when(middle, F.col(value))).alias("median_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )

@@ -34,13 +34,10 @@ class Workspace:
         self.run_id = uuid4().hex
         self.path = f"{shared_folder(spark)}/staytally-{self.run_id}"
 
-    def land(self, frame: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+    def land(self, frame: DataFrame, label: str) -> DataFrame:
         """Write once, read back: what is checked later is what is published later."""
         target = f"{self.path}/{label}"
-        writer = frame.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(target)
+        frame.write.mode("errorifexists").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)
 
     def close(self) -> None:

@@ -5,8 +5,12 @@ Nothing here depends on the session time zone.
 
 from __future__ import annotations
 
+from datetime import UTC, date, datetime, timedelta
+
 from pyspark.sql import Column, functions as F
 
+_UNIX_EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+
 # The accepted text forms. ``\z`` and not ``$``, which lets a newline through.
 IDENTIFIER = r"\A[A-Za-z0-9][A-Za-z0-9_.-]{0,127}\z"
 CALENDAR_DATE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
@@ -24,6 +28,21 @@ def _epoch() -> Column:
     return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
 
 
+def day_literal(day: date) -> Column:
+    """DATE literal; ``lit`` would pass through a calendar that differs before 1582."""
+    return F.lit(day.isoformat()).cast("date")
+
+
+def on_days(day: Column | str, days: list[date]) -> Column:
+    """Membership in a list of days; as literals they prune partitions statically."""
+    return _col(day).isin([day_literal(value) for value in days])
+
+
+def instant_literal(stamp: datetime) -> Column:
+    """TIMESTAMP literal of a zoned datetime, exact for every year."""
+    return F.timestamp_micros(F.lit((stamp - _UNIX_EPOCH) // timedelta(microseconds=1)))
+
+
 def is_identifier(value: Column | str) -> Column:
     """True only for a well-formed identifier; NULL counts as malformed."""
     return F.coalesce(_col(value).rlike(IDENTIFIER), F.lit(False))

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from staytally.functions.scalars import day_literal
 from staytally.schema import CELL, KEY
 
 
@@ -18,7 +19,7 @@ def union_snapshots(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 def history(table: DataFrame, first_day: date, last_day: date) -> DataFrame:
     """Snapshot days in a range; the filter prunes partitions of the table."""
-    return table.where(F.col("snapshot_date").between(F.lit(first_day), F.lit(last_day)))
+    return table.where(F.col("snapshot_date").between(day_literal(first_day), day_literal(last_day)))
 
 
 def as_of(table: DataFrame, day: date) -> DataFrame:
@@ -26,7 +27,7 @@ def as_of(table: DataFrame, day: date) -> DataFrame:
 
     One row per key is a precondition, so the newest day decides alone.
     """
-    past = table.where(F.col("snapshot_date") <= F.lit(day))
+    past = table.where(F.col("snapshot_date") <= day_literal(day))
     return past.groupBy(*CELL).agg(
         F.max_by("available_rooms", "snapshot_date").alias("available_rooms"),
         F.max_by("observed_at", "snapshot_date").alias("observed_at"),

@@ -441,7 +441,7 @@ def batch_duplicate_keys_lines(spark: SparkSession, folder: str) -> DataFrame:
 def target_duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
     rows = observations(spark, folder)
     days = merge.affected_days(daytime(rows))
-    return as_text(dedup.duplicate_keys(morning(rows).where(F.col("snapshot_date").isin(days))))
+    return as_text(dedup.duplicate_keys(morning(rows).where(scalars.on_days("snapshot_date", days))))
 
 
 @query

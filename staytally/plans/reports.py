@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from staytally.sources.pages import number_rows
+from staytally.operators.ranking import weighted_ranks
 from staytally.workspace import Workspace
 
 
@@ -31,15 +31,20 @@ def run_statistics(
 ) -> DataFrame:
     """Exact median, minimum and maximum of a measurement per group.
 
-    The values are ranked across range partitions: ``percentile`` would hold all
-    distinct values of a group in one task.
+    Equal values are counted before the first shuffle, and the distinct ones are
+    ranked across ranges: ``percentile`` would hold a whole group in one task.
     """
     known = measurements.select(by, value).where(F.col(value).isNotNull())
-    ranked = number_rows(known, by, [value], workspace)
-    middle = F.abs(F.col("position") * 2 - (F.col("total") - 1)) <= 1
+    counted = known.groupBy(by, value).agg(F.count("*").alias("copies"))
+    ranked = weighted_ranks(counted, by, value, "copies", workspace)
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(F.col("first"), F.col("last")), F.col(value)))
+
+    lower, upper = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
     return ranked.groupBy(by).agg(
         F.max("total").alias("runs"),
-        F.avg(F.when(middle, F.col(value))).alias("median_value"),
+        ((at(lower) + at(upper)) / 2).alias("median_value"),
         F.min(value).alias("min_value"),
         F.max(value).alias("max_value"),
     )

@@ -6,6 +6,7 @@ import pytest
 from samples import hotels, listed, page, pages
 from staytally.functions import strict_json as J
 from staytally.plans.acceptance import synthetic_pages
+from staytally.operators.ranking import number_rows
 from staytally.schema import PAGE_SCHEMA, Limits
 from staytally.sources import pages as P
 from staytally.workspace import Workspace
@@ -127,12 +128,20 @@ def test_default_paging_of_the_longest_range(spark):
     ]
 
 
+def test_cursors_of_a_custom_page_size(spark):
+    entries = [("Custom.Hotel-7", ["z-room", "a_room"])]
+    day = date(2026, 9, 27)
+    landed = synthetic_pages(hotels(spark, entries), day, 12, day, page_size=5).collect()
+    assert [r.request_cursor for r in sorted(landed)] == [None, "5", "10", "15", "20"]
+    assert len(json.loads(sorted(landed)[-1].body)["items"]) == 4
+
+
 def test_numbering_spans_ranges_and_skewed_groups(spark):
     """One group holds most rows, so it is cut across many ranges."""
     rows = spark.range(4000).selectExpr(
         "if(id % 10 < 7, 'hot', concat('g', id % 10)) AS g", "id * 7919 % 4001 AS v"
     )
-    got = P.number_rows(rows, "g", ["v"], Workspace(spark)).collect()
+    got = number_rows(rows, "g", ["v"], Workspace(spark)).collect()
     for name in {r.g for r in got}:
         group = sorted((r.v, r.position, r.total) for r in got if r.g == name)
         assert [p for _, p, _ in group] == list(range(len(group)))

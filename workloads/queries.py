@@ -8,7 +8,7 @@ from datetime import UTC, date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staytally.functions import scalars, strict_json
-from staytally.operators import coverage, dedup, history, merge, rules
+from staytally.operators import coverage, dedup, history, merge, ranking, rules
 from staytally.plans import acceptance, collect, reports
 from staytally.schema import CELL, COLUMNS, KEY, UNLIMITED, Limits
 from staytally.sinks import ndjson, preflight
@@ -47,7 +47,7 @@ def query(function: Query) -> Query:
 
 def _event_pages(spark: SparkSession, folder: str, page_size: int = 50) -> DataFrame:
     """Raw event records as landed pages of their hotel."""
-    numbered = pages.number_rows(
+    numbered = ranking.number_rows(
         raw_items(spark, folder), "hotel_id", ["event_id"], Workspace(spark)
     )
     return pages.paginate(numbered, page_size)
@@ -55,11 +55,9 @@ def _event_pages(spark: SparkSession, folder: str, page_size: int = 50) -> DataF
 
 def _line_pages(spark: SparkSession, folder: str) -> DataFrame:
     lines = synthetic.item_text(order_lines(spark, folder))
-    order = ["room_type_id", "stay_date", "available_rooms"]
-    numbered = pages.number_rows(
-        lines.select("hotel_id", *order, "item"), "hotel_id", order, Workspace(spark)
-    )
-    return pages.paginate(numbered)
+    order = ["room_type_id", "stay_date", "observed_at", "line_id"]
+    rows = lines.select("hotel_id", *order, "item")
+    return pages.paginate(ranking.number_rows(rows, "hotel_id", order, Workspace(spark)))
 
 
 @query

@@ -42,6 +42,7 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("available_rooms"),
         F.col("o_orderdate").cast("date").alias("snapshot_date"),
         F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("o_orderdate")).alias("observed_at"),
+        F.col("l_orderkey").alias("line_id"),
     )
 
 

@@ -3,7 +3,7 @@
 from staytally.errors import SnapshotError, StorageError
 from staytally.plans.collect import Snapshot, collect_snapshot, sync_snapshot
 from staytally.schema import CELL, COLUMNS, KEY, SNAPSHOT_SCHEMA, UNLIMITED, Limits
-from staytally.sinks.table import SnapshotTable, WriteResult
+from staytally.sinks.table import CatalogTable, SnapshotTable, WriteResult
 
 __all__ = [
     "CELL",
@@ -11,6 +11,7 @@ __all__ = [
     "KEY",
     "SNAPSHOT_SCHEMA",
     "UNLIMITED",
+    "CatalogTable",
     "Limits",
     "Snapshot",
     "SnapshotError",

@@ -29,9 +29,9 @@ def shared_folder(spark: SparkSession) -> str:
 class Workspace:
     """One run's private folder. Landed tables outlive lost executors and cut lineage."""
 
-    def __init__(self, spark: SparkSession) -> None:
+    def __init__(self, spark: SparkSession, run_id: str | None = None) -> None:
         self.spark = spark
-        self.run_id = uuid4().hex
+        self.run_id = run_id or uuid4().hex
         self.path = f"{shared_folder(spark)}/staytally-{self.run_id}"
 
     def land(self, frame: DataFrame, label: str) -> DataFrame:

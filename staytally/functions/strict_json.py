@@ -6,8 +6,11 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from staytally.errors import SnapshotError
 from staytally.functions.scalars import _col, strict_date
 
+_LENIENT = "spark.sql.variant.allowDuplicateKeys"
+
 
 def with_strict_json(frame: DataFrame, body: Column | str, name: str) -> DataFrame:
     """Add a VARIANT column: the one JSON document in ``body``, else NULL.
@@ -20,6 +23,8 @@ def with_strict_json(frame: DataFrame, body: Column | str, name: str) -> DataFra
     Each step is a column of its own, so the optimizer keeps them apart and a
     body is parsed once however often the result is used.
     """
+    if frame.sparkSession.conf.get(_LENIENT, "false") == "true":
+        raise SnapshotError("bad_session", f"{_LENIENT} would accept repeated keys")
     mark = uuid4().hex
     text = F.try_validate_utf8(_col(body).cast("string"))
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{mark}"]')))

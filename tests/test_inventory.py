@@ -50,7 +50,7 @@ def test_non_string_room_is_refused(spark, tmp_path):
 @pytest.mark.parametrize(
     "entries,fault",
     [
-        ([], "at least one"),
+        ([], "no hotels"),
         ([("one", ["a"]), ("one", ["a"])], "repeated_hotel"),
         ([("bad id", ["a"])], "bad_hotel_id"),
         ([(None, ["a"])], "bad_hotel_id"),

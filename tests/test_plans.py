@@ -5,9 +5,10 @@ from datetime import UTC, date, datetime, timedelta
 
 import pytest
 
-from samples import START, batch, hotels, items, pages, row
+from samples import STAMP, START, batch, hotels, items, pages, row
 from staytally import SnapshotTable
 from staytally.operators import coverage, dedup, history, merge, rules
+from staytally.plans.collect import land_pages, run_options
 from staytally.schema import KEY, Limits
 from staytally.sources import pages as P
 from staytally.sources.inventory import expected_rooms
@@ -70,6 +71,27 @@ def test_bodies_are_parsed_once_without_a_shuffle(spark):
     assert "Python" not in plan(read)
 
 
+def test_an_import_is_one_combining_shuffle(spark):
+    landed = []
+
+    class Captured(Exception):
+        pass
+
+    class Space:
+        def land(self, frame, _):
+            landed.append(frame)
+            raise Captured
+
+    run = run_options(START, 3, STAMP)
+    with pytest.raises(Captured):
+        land_pages(pages(spark, items()), run, Limits(), Space())
+    text = plan(landed[0])
+    assert text.count("parseJson") == 1
+    assert exchanges(landed[0]) == 1
+    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
+    assert "Python" not in text and "Join" not in text
+
+
 def test_chain_check_has_no_window_and_no_join(spark):
     headers = P.page_headers(P.decode_pages(pages(spark, items())))
     text = plan(P.page_chain(headers, hotels(spark), Limits()))

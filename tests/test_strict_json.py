@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from staytally import SnapshotError
 from staytally.functions import strict_json as J
 
 
@@ -24,6 +25,16 @@ def test_anything_else_is_refused(spark):
     assert _accepted(spark, bodies) == [False] * len(bodies)
 
 
+def test_lenient_sessions_are_refused(spark):
+    name = "spark.sql.variant.allowDuplicateKeys"
+    spark.conf.set(name, "true")
+    try:
+        with pytest.raises(SnapshotError, match="bad_session"):
+            _accepted(spark, ["{}"])
+    finally:
+        spark.conf.unset(name)
+
+
 def test_bytes_must_be_utf8(spark):
     bodies = [b'{"a": "\xc3\xa9"}', b'{"a": "\xff"}', b"\xff"]
     assert _accepted(spark, bodies, "binary") == [True, False, False]

@@ -44,6 +44,16 @@ class Workspace:
         fs.delete(self.spark, self.path)
 
 
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """Spread few rows that are about to become many over all shuffle partitions.
+
+    The number is explicit because AQE would otherwise merge partitions by the
+    small size that the rows have before they grow.
+    """
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(partitions, *keys)
+
+
 def small_enough(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
     return frame.limit(rows + 1).count() <= rows
 

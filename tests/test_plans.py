@@ -99,8 +99,19 @@ def test_chain_check_has_no_window_and_no_join(spark):
 
 
 def test_grid_is_generated_without_a_join(spark):
+    """The rooms, not the cells, are shuffled, and AQE cannot merge their partitions."""
     grid = coverage.expected_grid(expected_rooms(hotels(spark)), START, START)
-    assert "Join" not in plan(grid) and exchanges(grid) == 0
+    assert "Join" not in plan(grid) and exchanges(grid) == 1
+    assert "REPARTITION_BY_NUM" in plan(grid)
+    assert plan(grid).index("Generate") < plan(grid).index("REPARTITION_BY_NUM")
+
+
+def test_one_large_hotel_is_generated_by_many_tasks(spark):
+    rooms = "transform(sequence(1, 400), i -> concat('r', i)) AS room_type_ids"
+    large = spark.range(1).selectExpr("'h' AS hotel_id", rooms)
+    grid = coverage.expected_grid(expected_rooms(large), START, START + timedelta(days=9))
+    sizes = [n for n in grid.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect() if n]
+    assert sum(sizes) == 4000 and max(sizes) < 2000
 
 
 def test_membership_tally_has_no_join(spark):

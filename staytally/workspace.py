@@ -15,8 +15,9 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only in local mode."""
+    """The session's checkpoint folder; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = configured or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

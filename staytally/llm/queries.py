@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from staytally.llm import decontaminate, line_dedup, minhash, passage_dedup
+from staytally.llm import decontaminate, line_dedup, minhash, mixing, passage_dedup, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,19 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.write_token_shards(_table(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select(
@@ -49,7 +58,9 @@ def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_token_shards": op2_token_shards,
     "op3_near_dedup": op3_near_dedup,
+    "op4_mixing": op4_mixing,
     "op8_line_dedup": op8_line_dedup,
     "op9_passage_dedup": op9_passage_dedup,
 }

@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from staytally.llm import decontaminate, line_dedup, minhash, mixing, passage_dedup, tokens
+from staytally.llm import (
+    context_tree,
+    decontaminate,
+    forest,
+    line_dedup,
+    minhash,
+    mixing,
+    passage_dedup,
+    tokens,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +51,14 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(_table(spark, sf_dir, "documents"))
+
+
+def op7_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(_table(spark, sf_dir, "documents"))
     return kept.select(
@@ -61,6 +78,8 @@ QUERIES = {
     "op2_token_shards": op2_token_shards,
     "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
+    "op6_context_tree": op6_context_tree,
+    "op7_forest": op7_forest,
     "op8_line_dedup": op8_line_dedup,
     "op9_passage_dedup": op9_passage_dedup,
 }

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from staytally.llm import (
     context_tree,
+    cotraining,
     decontaminate,
     forest,
     line_dedup,
     minhash,
     mixing,
+    page_crf,
     passage_dedup,
     tokens,
 )
@@ -51,6 +53,15 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    classifier = cotraining.train(documents, _table(spark, sf_dir, "labels"))
+    scored = cotraining.score(documents.select("doc_id", "text", "source", "lang"), classifier)
+    return scored.select(
+        "doc_id", "p_text", "p_page", "p_good", cotraining.kept().alias("kept")
+    )
+
+
 def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score_texts(_table(spark, sf_dir, "documents"))
 
@@ -73,13 +84,19 @@ def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_crf.extract(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_shards": op2_token_shards,
     "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
+    "op5_cotraining": op5_cotraining,
     "op6_context_tree": op6_context_tree,
     "op7_forest": op7_forest,
     "op8_line_dedup": op8_line_dedup,
     "op9_passage_dedup": op9_passage_dedup,
+    "op10_page_text": op10_page_text,
 }

@@ -109,13 +109,15 @@ class _Composer:
 
     def article(self) -> str:
         blocks = [f"<h1>{self.words(2, 10)}</h1>"] if self.random.random() < 0.8 else []
+        paragraph = "div" if self.random.random() < 0.15 else "p"
+        bare = self.random.random() < 0.2  # text right inside the article, between other blocks
         for _ in range(int(self.random.integers(1, 12))):
             roll = self.random.random()
             if roll < 0.75:
                 text = self.sentences(1, 7) if self.random.random() < 0.8 else self.words(1, 5)
                 if self.random.random() < 0.15:
                     text = f'<b>{text}' if self.random.random() < 0.5 else f'{text} <a href="/x">{self.words(1, 4)}</a>'
-                blocks.append(f"<p>{text}</p>")
+                blocks.append(text if bare else f"<{paragraph}>{text}</{paragraph}>")
             elif roll < 0.82:
                 blocks.append(f"<h2>{self.words(1, 7)}</h2>")
             elif roll < 0.9:
@@ -155,7 +157,11 @@ def labelled_pages(n: int, seed: int = SEED) -> list[tuple[list[Block], list[boo
     return out
 
 
-def _shape(block: Block) -> list[str]:
+def _inside(block: Block) -> bool:
+    return "tag:article" in block.names or "tag:main" in block.names
+
+
+def _shape(block: Block, inside: bool) -> list[str]:
     text = block.text
     size, share = len(text), block.linked / len(text)
     out = [
@@ -164,6 +170,8 @@ def _shape(block: Block) -> list[str]:
         f"ends:{'stop' if text[-1] in '.!?:;…”\"' else 'open'}",
         f"in:{block.tag}",
     ]
+    if inside:  # what an article says of rights and cookies is its own
+        return out
     if "©" in text[:80] or "rights reserved" in text.lower():
         out.append("has:rights")
     if size < 400 and ("cookie" in text.lower() or "newsletter" in text.lower()):
@@ -172,14 +180,13 @@ def _shape(block: Block) -> list[str]:
 
 
 def _page_names(found: list[Block]) -> str:
-    named = any("tag:article" in b.names or "tag:main" in b.names for b in found)
-    return "named" if named else "plain"
+    return "named" if any(map(_inside, found)) else "plain"
 
 
 def _features(block: Block, page: str) -> list[str]:
     names = [n for n in block.names if not n.startswith("label:")]
-    inside = "tag:article" in block.names or "tag:main" in block.names
-    return [*names, *_shape(block), f"{page}:{'inside' if inside else 'outside'}", "any"]
+    inside = _inside(block)
+    return [*names, *_shape(block, inside), f"{page}:{'inside' if inside else 'outside'}", "any"]
 
 
 @dataclass
@@ -200,12 +207,13 @@ class Field:
         for at, block in enumerate(found):
             around = cache.get((block.names, page))
             if around is None:
-                inside = "tag:article" in block.names or "tag:main" in block.names
+                inside = _inside(block)
                 around = sum(get(n, 0.0) for n in block.names) + get("any", 0.0)
                 around += get(f"{page}:{'inside' if inside else 'outside'}", 0.0)
+                around = around, inside
                 if len(cache) < 50_000:
                     cache[block.names, page] = around
-            own = around + sum(get(n, 0.0) for n in _shape(block))
+            own = around[0] + sum(get(n, 0.0) for n in _shape(block, around[1]))
             if at:
                 from_a, from_b = a + follow[0][0], b + follow[1][0]
                 to_a, to_b = a + follow[0][1], b + follow[1][1]

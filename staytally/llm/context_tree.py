@@ -33,9 +33,9 @@ from pyspark.sql import DataFrame, functions as F
 from staytally.llm import words as W
 from staytally.llm.scratch import Scratch
 
-DEPTH = 5
+DEPTH = 4
 FOLDS, HELD_FOLD = 7, 2
-BLOCK_NODES = 6_000_000
+BLOCK_NODES = 2_000_000
 HOT_WORDS = 1 << 19
 _MERGE = 1 << 22
 _SLOTS = 22
@@ -358,7 +358,8 @@ def score_texts(
     pair = F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF) % blocks
     for block in range(blocks):
         own = dict(levels)
-        held = nodes.where(pair == block).select("depth", "key", "own", "one").toArrow()
+        held = nodes.where(pair == block)
+        held = held.select("depth", "key", F.col("own").cast("float"), F.col("one").cast("float")).toArrow()
         depths, keys = held.column("depth").to_numpy(), held.column("key").to_numpy()
         for level in range(2, depth + 1):
             at = np.flatnonzero(depths == level)
@@ -372,9 +373,11 @@ def score_texts(
         )
     scored = scratch.land(frame.drop("text"), "scored")
 
-    cold = words.where(F.col("key") != _END_WORD).join(
-        spark.createDataFrame(hot.select(["key"]), "key bigint").hint("shuffle_merge"), "key", "left_anti"
-    ) if kinds - 1 > len(hot_keys) else words.where("false")
+    cold = words.where("false")
+    if len(hot) == hot_words:  # what comes after the last of the broadcast ones
+        least, key = hot.column("n")[-1].as_py(), hot.column("key")[-1].as_py()
+        cold = words.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("key") > key)))
+        cold = cold.where(F.col("key") != _END_WORD)
     rare = scored.select("rid", F.explode("rare").alias("key")).join(cold, "key")
     rare = rare.groupBy("rid").agg(
         F.count("*").alias("rare_known"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs")

@@ -1,11 +1,12 @@
 """Operator 9: words inside passages that stand earlier in the corpus go.
 
-A window is ``WINDOW`` consecutive words. Its minimiser is the least of its word pairs in a
-fixed random order, with pairs that are frequent in a sample of documents ranked last:
+A window is ``WINDOW`` consecutive words. Its minimiser is the least of its word triples in a
+fixed random order, with triples that are frequent in a sample of documents ranked last:
 the sample only balances buckets, no result depends on it. Consecutive windows with the same
-minimiser travel as one packed string (a super-k-mer) to the minimiser's bucket. There they
-come sorted by document and place, and a set of the windows' own bytes tells which have
-been met: memory is bounded by one minimiser's distinct windows, however often they occur.
+minimiser travel as one packed string (a super-k-mer, compressed) to the minimiser's bucket.
+There they come sorted by document and place, and a set of the windows' own bytes tells which
+have been met: memory is bounded by one minimiser's distinct windows, however often they
+occur. A string alone in its bucket holds nothing twice.
 Before the shuffle a task settles windows that repeat among its own documents, so a passage
 of a third of all documents sends a copy a task and not a copy a document.
 
@@ -21,16 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from staytally.llm import words as W
+from staytally.llm.scratch import Scratch
 
 WINDOW = 20
-PAIR = 2
-#: Documents looked at for frequent pairs, and the share of them that makes a pair frequent.
+GRAM = 3
+#: Documents looked at for frequent word triples, and the share that makes one frequent.
 ORDER_SAMPLE = 4000
 FREQUENT_SHARE = 0.002
 _FREQUENT_MOST = 20_000
+#: Texts that the compression dictionary is fitted to, none over so many bytes.
+DICTIONARY_SAMPLE, _DICTIONARY_TEXT = 1000, 1 << 14
 _NO_ID = -(2**63)
 
 _TRAVEL = "mini bigint, doc_id bigint, start int, windows int, packed binary"
@@ -86,9 +91,24 @@ def _met_here(found: W.Words, hashes, window, at, doc, start, width) -> np.ndarr
     return met
 
 
-def _travellers(frequent, width: int):
+def _order(hashes: np.ndarray) -> np.ndarray:
+    """The random order's value of each run of ``GRAM`` words (across texts too)."""
+    total, n = np.zeros(max(0, len(hashes) - GRAM + 1), np.uint64), len(hashes)
+    for j in range(GRAM if len(total) else 0):
+        total = total * W.BASE + hashes[j : n - GRAM + 1 + j]
+    return W.mix(total) >> np.uint64(2)
+
+
+def _dictionary(data: bytes):
+    return zstandard.ZstdCompressionDict(data) if data else None
+
+
+def _travellers(fitted, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = frequent.value
+        last, dictionary = fitted.value
+        pack = zstandard.ZstdCompressor(
+            dict_data=_dictionary(dictionary), write_checksum=False, write_dict_id=False
+        ).compress
         for batch in W.slices(batches, "text"):
             found = _squeezed(W.scan(batch.column("text"), W.SPACED, False))
             hashes = found.hashes()
@@ -98,11 +118,11 @@ def _travellers(frequent, width: int):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             text = found.text_of()[at]
             doc, start = ids[text], at - found.first[text]
-            order = W.mix(hashes[:-1] * W.BASE + hashes[1:]) >> np.uint64(2)
+            order = _order(hashes)
             if len(last):
                 near = np.minimum(np.searchsorted(last, order), len(last) - 1)
                 order = np.where(last[near] == order, order | np.uint64(1 << 62), order)
-            mini = _sliding_min(order.astype(np.int64), width - PAIR + 1)[at]
+            mini = _sliding_min(order.astype(np.int64), width - GRAM + 1)[at]
             met = _met_here(found, hashes, window, at, doc, start, width)
 
             own = np.flatnonzero(met)
@@ -115,7 +135,7 @@ def _travellers(frequent, width: int):
             i, j = own[cuts[:-1]], own[cuts[1:] - 1]
             low, high = found.starts[at[i]], found.ends[at[j] + width - 1]
             raw = found.data.tobytes()
-            packed = [raw[a:b] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            packed = [pack(raw[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
             yield _rows(mini[i], doc[i], start[i], j - i + 1, packed)
 
     return run
@@ -134,28 +154,34 @@ def _rows(mini, doc, start, windows, packed) -> pa.RecordBatch:
     )
 
 
-def _bucket(width: int):
+def _bucket(fitted, width: int):
     """Rows come sorted by (mini, doc_id, start); a row without a string is settled already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(fitted.value[1])).decompress
         current, seen = None, {}
         for batch in W.slices(batches, "packed"):
-            found = W.scan(batch.column("packed"), W.SPACED, False)
+            mini = batch.column("mini").to_numpy()
+            docs, places = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
+            windows, packed = batch.column("windows").to_pylist(), batch.column("packed")
+            spans = [
+                (docs[k], places[k], places[k] + windows[k] + width - 1)
+                for k in np.flatnonzero(packed.is_null()).tolist()
+            ]
+            shared = np.zeros(len(mini), bool)  # the last may go on in the next batch
+            shared[0], shared[-1] = mini[0] == current, True
+            shared[1:] |= mini[1:] == mini[:-1]
+            shared[:-1] |= mini[1:] == mini[:-1]
+            rows = np.flatnonzero(shared & packed.is_valid().to_numpy(False))
+            texts = pa.array([unpack(p) for p in packed.take(rows).to_pylist()], pa.binary())
+            found = W.scan(texts, W.SPACED, False)
             raw = found.data.tobytes()
             starts, ends = found.starts.tolist(), found.ends[width - 1 :].tolist()
-            settled = batch.column("packed").is_null().to_pylist()
-            minis, docs, places, windows = (
-                batch.column(k).to_pylist() for k in ("mini", "doc_id", "start", "windows")
-            )
-            spans: list[tuple[int, int, int]] = []
-            for k, first in enumerate(found.first[:-1].tolist()):
-                doc, place = docs[k], places[k]
-                if settled[k]:
-                    spans.append((doc, place, place + windows[k] + width - 1))
-                    continue
-                if minis[k] != current:
-                    current, seen = minis[k], {}
-                stop = None
+            minis = mini[rows].tolist()
+            for k, key, first in zip(rows.tolist(), minis, found.first.tolist(), strict=False):
+                if key != current:
+                    current, seen = key, {}
+                doc, place, stop = docs[k], places[k], None
                 for j in range(windows[k]):
                     here = (doc, place + j)
                     window = raw[starts[first + j] : ends[first + j]]
@@ -167,20 +193,22 @@ def _bucket(width: int):
                         spans.append((doc, place + j, place + j + width))
                     stop = place + j + width
             if spans:
-                doc, start, stop = zip(*spans, strict=True)
+                columns = zip(*spans, strict=True)
+                kinds = (pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32())],
+                    [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
                     names=["doc_id", "start", "stop"],
                 )
 
     return run
 
 
-def _frequent_pairs(docs: DataFrame) -> np.ndarray:
-    """Order values of the pairs that many sampled documents hold; at most some thousands."""
+def _fitted(docs: DataFrame) -> tuple[np.ndarray, bytes]:
+    """From a sample: order values of frequent triples (some thousands at most), and a
+    dictionary by which short strings compress. Neither changes a result."""
     total = docs.count()
     if not total:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), b""
     share = min(1.0, ORDER_SAMPLE / total)
     some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
 
@@ -188,26 +216,33 @@ def _frequent_pairs(docs: DataFrame) -> np.ndarray:
         for batch in W.slices(batches, "text"):
             found = W.scan(batch.column("text"), W.SPACED, False)
             hashes = found.hashes()
-            if len(hashes) < PAIR:
+            if len(hashes) < GRAM:
                 continue
-            order = W.mix(hashes[:-1] * W.BASE + hashes[1:]) >> np.uint64(2)
-            both = np.unique(np.stack([order, found.text_of()[:-1].astype(np.uint64)], 1), axis=0)
-            pair, n = np.unique(both[:, 0], return_counts=True)
+            order, of = _order(hashes), found.text_of()[: 1 - GRAM]
+            sort = np.lexsort((of, order))
+            order, of = order[sort], of[sort]
+            first = np.r_[True, (order[1:] != order[:-1]) | (of[1:] != of[:-1])]
+            gram, n = np.unique(order[first], return_counts=True)  # documents that hold each
             kept = n > 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pair[kept].astype(np.int64)), pa.array(n[kept])], names=["pair", "n"]
+                [pa.array(gram[kept].astype(np.int64)), pa.array(n[kept])], names=["gram", "n"]
             )
 
     rows = (
-        some.mapInArrow(count, "pair bigint, n bigint")
-        .groupBy("pair")
+        some.mapInArrow(count, "gram bigint, n bigint")
+        .groupBy("gram")
         .agg(F.sum("n").alias("n"))
         .where(F.col("n") >= max(2, int(FREQUENT_SHARE * share * total)))
-        .orderBy(F.desc("n"), "pair")
+        .orderBy(F.desc("n"), "gram")
         .limit(_FREQUENT_MOST)
         .collect()
     )
-    return np.sort(np.array([r.pair for r in rows], np.uint64))
+    texts = some.where(F.octet_length("text") < _DICTIONARY_TEXT).select("text")
+    texts = [r.text.encode() for r in texts.limit(DICTIONARY_SAMPLE).collect()]
+    dictionary = b""
+    if len(texts) >= DICTIONARY_SAMPLE // 4:
+        dictionary = zstandard.train_dictionary(1 << 16, texts).as_bytes()
+    return np.sort(np.array([r.gram for r in rows], np.uint64)), dictionary
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,12 +280,12 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, start, stop) of words covered by windows that stand earlier; spans may overlap."""
-    frequent = docs.sparkSession.sparkContext.broadcast(_frequent_pairs(docs))
+    fitted = docs.sparkSession.sparkContext.broadcast(_fitted(docs))
     return (
-        docs.mapInArrow(_travellers(frequent, window), _TRAVEL)
+        docs.mapInArrow(_travellers(fitted, window), _TRAVEL)
         .repartition("mini")
         .sortWithinPartitions("mini", "doc_id", "start")
-        .mapInArrow(_bucket(window), _SPAN)
+        .mapInArrow(_bucket(fitted, window), _SPAN)
     )
 
 
@@ -258,16 +293,18 @@ def drop_repeated_passages(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", window: int = WINDOW
 ) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and the text of the kept words, one space between."""
-    if window <= PAIR:
-        raise ValueError(f"a window needs more than {PAIR} words")
+    if window <= GRAM:
+        raise ValueError(f"a window needs more than {GRAM} words")
     docs = docs.select(
         F.coalesce(F.col(id).cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col(text).alias("text")
     )
+    scratch = Scratch(docs.sparkSession, "passages")
     spans = (
-        repeated_spans(docs, window)
+        scratch.land(repeated_spans(docs, window), "spans")
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
+    scratch.free_shuffles()  # the strings have travelled; next, the texts do
     out = docs.join(spans, "doc_id", "left").mapInArrow(
         _kept, "doc_id bigint, n_words bigint, n_removed bigint, text string"
     )

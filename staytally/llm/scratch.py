@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 from uuid import uuid4
 
@@ -36,10 +37,10 @@ class Scratch:
         self._tables = 0
         atexit.register(self._close)
 
-    def land(self, frame: DataFrame, label: str) -> DataFrame:
+    def land(self, frame: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
         self._tables += 1
         target = f"{self.path}/{self._tables:03d}-{label}"
-        frame.write.parquet(target)
+        frame.write.parquet(target, compression=compression)
         landed = self.spark.read.schema(frame.schema).parquet(target)
         landed.llm_path = target
         return landed
@@ -47,6 +48,12 @@ class Scratch:
     def drop(self, landed: DataFrame) -> None:
         fs.delete(self.spark, landed.llm_path)
 
+    def free_shuffles(self) -> None:
+        """Spark deletes the files of a finished shuffle once the driver has collected its plan;
+        between two large ones it is asked to."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def _close(self) -> None:
         context = self.spark.sparkContext
         if getattr(context, "_jsc", None) is not None:

@@ -2,10 +2,12 @@
 
 1. One pass gives each document its set size, a digest of its words, and ``ROWS * BANDS``
    minima under universal hash functions. Equal texts become one class at once.
-2. Classes that agree in a band share a bucket. A bucket proposes its least class with each
-   other one, never all pairs. Proposals pass on signatures, then are confirmed on full sets.
-3. Components. In buckets that still span several components, classes of different components
-   are proposed too, so no link between different texts that share a bucket is lost.
+2. Classes that agree in a band share a bucket. Each round, a bucket that still spans several
+   components proposes one centre, the class with the most links so far, with each class of
+   another component: never all pairs. Proposals pass on signatures, then are confirmed on
+   full sets, and components are found anew.
+3. Once the pairs left across components are few, or a round no longer lessens them, they are
+   all proposed: no link between different texts that share a bucket is lost.
 
 Two documents at the similarity bound share no bucket with a chance of (1 - 0.8^5)^32, 3 in a
 million; the signature bound lies eight standard deviations below the link's.
@@ -176,11 +178,10 @@ def _with_both(pairs: DataFrame, side: DataFrame, value: str, *more: str) -> Dat
 
 
 class _Linker:
-    """Confirms proposed pairs of classes."""
+    """Confirms proposed pairs of classes, and finds components of the links."""
 
-    def __init__(self, docs, classes, width, percent, scratch) -> None:
-        self.docs, self.classes, self.scratch = docs, classes, scratch
-        self.width, self.percent = width, percent
+    def __init__(self, classes, sets, percent, scratch) -> None:
+        self.classes, self.sets, self.percent, self.scratch = classes, sets, percent, scratch
 
     def links(self, proposed: DataFrame) -> DataFrame:
         percent = self.percent
@@ -190,20 +191,9 @@ class _Linker:
         alike = sized.select("a", "b", "x", "y").mapInArrow(
             _alike(SIGNATURE_SLACK, percent), "a binary, b binary"
         )
-        alike = self.scratch.land(alike, "alike")
-        ends = alike.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-        wanted = self.classes.select("digest", "rep").join(ends, "digest", "left_semi")
-        texts = self.docs.join(
-            wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"
-        )
-        sets = texts.select("text").mapInArrow(_sets(self.width), _SETS)
-        sets = sets.join(ends, "digest", "left_semi").dropDuplicates(["digest"])
-        sets = self.scratch.land(sets, "sets")
-        linked = _with_both(alike, sets, "shingles").select("a", "b", "x", "y")
+        linked = _with_both(alike, self.sets, "shingles").select("a", "b", "x", "y")
         linked = linked.mapInArrow(_confirm(percent), "a binary, b binary")
-        linked = self.scratch.land(linked, "links")
-        self.scratch.drop(sets)
-        return linked
+        return self.scratch.land(linked, "links")
 
     def edges(self, links: DataFrame) -> DataFrame:
         reps = self.classes.select("digest", "rep")
@@ -213,6 +203,83 @@ class _Linker:
             .select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         )
 
+    def roots(self, members: DataFrame, edges: DataFrame) -> DataFrame:
+        """(node, root) of the components, given the buckets and the edges known before."""
+        land = self.scratch.land
+        limit, before = members.count(), None
+        roots = components(edges, self.scratch)
+        links = tested = used = None
+        while True:
+            of = self.classes.select("digest", "rep", "n").join(
+                roots.withColumnRenamed("node", "rep"), "rep", "left"
+            )
+            of = of.select("digest", "n", F.coalesce("root", "rep").alias("root"))
+            spread = members.join(of, "digest")
+            mixed = spread.groupBy("bucket").agg(F.min("root").alias("l"), F.max("root").alias("h"))
+            mixed = mixed.where("l <> h").select("bucket")
+            left = land(spread.join(mixed, "bucket", "left_semi"), "mixed")
+            counts = left.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
+            counts = counts.groupBy("bucket").agg((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)).alias("c"))
+            pairs = counts.agg(F.sum("c") / 2).first()[0]
+            if not pairs:
+                return roots
+            last = pairs <= limit or (before is not None and pairs > 0.9 * before)
+            if last:
+                proposed = self._across(left)
+            else:
+                centres = self._centres(left, links, used)
+                used = centres if used is None else land(used.unionByName(centres), "used")
+                proposed = left.join(centres, "bucket").where("root <> centre_root")
+                proposed = proposed.select(
+                    F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")
+                )
+            proposed = proposed.distinct()
+            if tested is not None:
+                proposed = proposed.join(tested, ["a", "b"], "left_anti")
+            proposed = land(proposed, "proposed")
+            new = self.links(proposed)
+            tested = proposed if tested is None else tested.unionByName(proposed)
+            links = new if links is None else links.unionByName(new)
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = components(known.unionByName(self.edges(new)), self.scratch)
+            if last:
+                return roots
+            before = pairs
+
+    def _centres(self, left: DataFrame, links: DataFrame | None, used: DataFrame | None) -> DataFrame:
+        """Of each bucket the class with the most links that was no centre there yet."""
+        if links is None:
+            left = left.withColumn("degree", F.lit(0).cast("long"))
+        else:
+            degrees = links.select(F.explode(F.array("a", "b")).alias("digest"))
+            degrees = degrees.groupBy("digest").agg(F.count("*").alias("degree"))
+            left = left.join(degrees, "digest", "left").fillna(0, ["degree"])
+            left = left.join(
+                used.select("bucket", F.col("centre").alias("digest")), ["bucket", "digest"], "left_anti"
+            )
+        best = left.groupBy("bucket").agg(F.max(F.struct("degree", "digest", "root")).alias("best"))
+        best = best.select(
+            "bucket", F.col("best.digest").alias("centre"), F.col("best.root").alias("centre_root")
+        )
+        return self.scratch.land(best, "centres")
+
+    def _across(self, left: DataFrame) -> DataFrame:
+        percent = self.percent
+        x, y = (
+            left.select(
+                "bucket", F.col("digest").alias(name), F.col("root").alias(f"r_{name}"), F.col("n").alias(f"n_{name}")
+            )
+            for name in ("a", "b")
+        )
+        found = x.join(
+            y,
+            (x.bucket == y.bucket)
+            & (F.col("r_a") < F.col("r_b"))
+            & (100 * F.col("n_a") >= percent * F.col("n_b"))
+            & (100 * F.col("n_b") >= percent * F.col("n_a")),
+        )
+        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
 
 def near_duplicates(
     docs: DataFrame,
@@ -240,53 +307,20 @@ def near_duplicates(
         F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width)) for k in range(BANDS)
     ]
     bands = classes.select("digest", F.explode(F.array(*band)).alias("bucket"))
-    centres = (
-        bands.groupBy("bucket")
-        .agg(F.min("digest").alias("centre"), F.count("*").alias("held"))
-        .where("held > 1")
-        .select("bucket", "centre")
-    )
-    members = scratch.land(bands.join(centres, "bucket"), "members")
-    proposed = members.where("digest <> centre").select(
-        F.col("centre").alias("a"), F.col("digest").alias("b")
-    )
-    linker = _Linker(docs, classes, shingle, percent, scratch)
-    links = linker.links(proposed.distinct())
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    members = scratch.land(bands.join(shared.select("bucket"), "bucket", "left_semi"), "members")
+
+    wanted = members.select("digest").distinct()
+    ids = classes.join(wanted, "digest", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(_sets(shingle), _SETS)
+    sets = sets.join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
+    sets = scratch.land(sets, "sets")
 
     # Rows of one id with different words are one document.
     twice = nodes.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-    twice = nodes.join(twice.where("low <> high"), "doc_id").select("doc_id", "digest").join(reps, "digest")
-    same = twice.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    edges = linker.edges(links).unionByName(same)
-    roots = components(edges, scratch)
-
-    # Buckets that still span components: their other pairs across components.
-    of = classes.select("digest", "rep", "n").join(
-        roots.withColumnRenamed("node", "rep"), "rep", "left"
-    )
-    of = of.select("digest", "n", F.coalesce("root", "rep").alias("root"))
-    spread = members.join(of, "digest")
-    mixed = (
-        spread.groupBy("bucket")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low <> high")
-        .select("bucket")
-    )
-    left = spread.join(mixed, "bucket", "left_semi").where("digest <> centre")
-    x = left.select("bucket", F.col("digest").alias("a"), F.col("root").alias("p"), F.col("n").alias("n_a"))
-    y = left.select("bucket", F.col("digest").alias("b"), F.col("root").alias("q"), F.col("n").alias("n_b"))
-    across = x.join(
-        y,
-        (x.bucket == y.bucket)
-        & (F.col("p") < F.col("q"))
-        & (100 * F.col("n_a") >= percent * F.col("n_b"))
-        & (100 * F.col("n_b") >= percent * F.col("n_a")),
-    )
-    across = scratch.land(across.select("a", "b").distinct(), "across")
-    if not across.isEmpty():
-        more = linker.edges(linker.links(across))
-        known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(known.unionByName(more), scratch)
+    twice = nodes.join(twice.where("low <> high"), "doc_id").select("doc_id", "digest")
+    same = twice.join(reps, "digest").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    roots = _Linker(classes, sets, percent, scratch).roots(members, same)
 
     named = reps.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(
         F.col("digest").alias("class"), F.coalesce("root", "rep").alias("root")

@@ -34,11 +34,11 @@ from staytally.llm.scratch import Scratch
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END = 50256
-LENGTH, ROWS = 512, 1 << 15
+LENGTH, ROWS = 256, 1 << 15
 KEY = 0x5EED
 _ROUNDS = 6
 _CACHED = 1 << 20
-_ODD_SPACE = re.compile(r" \s|\s |^ | $")
+_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _SAFE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -101,7 +101,14 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        odd = _ODD_SPACE.search(text)
+        odd = (
+            text[:1] == " "
+            or text[-1:] == " "
+            or "  " in text
+            or " \n" in text
+            or "\n " in text
+            or _OTHER_SPACE.search(text)
+        )
         first, *rest = _SAFE_SPACE.split(text) if odd else text.split(" ")
         return self._ids(first) + b"".join(map(self.__getitem__, rest))
 
@@ -230,6 +237,7 @@ def write_token_shards(
             StructType([*fields, *StructType.fromDDL("part bigint, row bigint").fields]),
         ),
         "sequences",
+        compression="zstd",
     )
     counts = landed.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
     n = np.array([r.n for r in counts], np.int64)

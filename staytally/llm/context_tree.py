@@ -280,7 +280,7 @@ def _score(held, depth: int):
                 is_hot = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
                 logs = np.where(is_hot, np.log10(hot_counts[at] + 1.0), 0) if len(hot) else is_hot * 0.0
                 text = found.text_of()
-                sums = np.bincount(text, logs, len(counts))
+                sums = np.bincount(text, logs, len(counts)).astype(float)  # of no words: integers
                 known = np.bincount(text, is_hot, len(counts)).astype(np.int64)
                 rare = keys[~is_hot]
                 cuts = np.searchsorted(text[~is_hot], np.arange(len(counts) + 1))

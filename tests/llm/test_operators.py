@@ -1,0 +1,333 @@
+"""Each operator against a plain version, on nulls, empty and long texts, ties, repeated rows, empty
+tables and columns whose names clash with the operator's own."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from staytally.llm import (
+    context_tree,
+    cotraining,
+    decontaminate,
+    forest,
+    line_dedup,
+    markup,
+    minhash,
+    mixing,
+    page_crf,
+    passage_dedup,
+    tokens,
+)
+from staytally.llm.fm_index import FMIndex, suffix_array
+
+SPACED = re.compile("[^\x20\x09-\x0d]+")
+ALNUM = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+UPPER = {i: i + 32 for i in range(65, 91)}
+RANDOM = np.random.default_rng(3)
+VOCABULARY = [f"w{i}" for i in range(40)] + ["É", "ß", "x y"]
+
+
+def text_of(n):
+    return " ".join(VOCABULARY[int(i)] for i in RANDOM.integers(len(VOCABULARY), size=n))
+
+
+PASSAGE, LINE = text_of(30), "A line that many Documents hold, É"
+LONG = text_of(40_000)
+TEXTS = [
+    PASSAGE,
+    PASSAGE,
+    f"{text_of(9)} {PASSAGE} {text_of(9)}",
+    f"{PASSAGE.upper()} w1",
+    None,
+    "",
+    " \n\t ",
+    "one two",
+    "one  two",
+    f"{LINE}\nother",
+    f"  {LINE.replace('line', 'LINE')}\t\nthird",
+    f"{LINE}\n{LINE}",
+    "a " * 70,
+    LONG,
+    f"{LONG} tail",
+    PASSAGE + " changed at the end",
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, f"s{i % 3}" if i % 4 else None, 7, True) for i, t in enumerate(TEXTS)]
+    schema = "doc_id long, text string, source string, n_words int, kept boolean"
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.limit(0)
+
+
+@pytest.fixture(scope="module")
+def odd(docs):
+    """Rows twice, one id for different texts, and rows without an id."""
+    return docs.unionByName(docs.where("doc_id in (0, 9)")).unionByName(
+        docs.where("doc_id in (2, 5)").selectExpr("CAST(NULL AS long) AS doc_id", "* EXCEPT (doc_id)")
+    )
+
+
+def words(text, rule=SPACED):
+    return rule.findall((text or "").translate(UPPER))
+
+
+def test_index_finds_every_occurrence():
+    for turn in range(60):
+        n, kinds = int(RANDOM.integers(1, 90)), int(RANDOM.integers(1, 5))
+        seq = RANDOM.integers(0, kinds + 1, n)
+        seq = np.r_[np.tile(seq, 1 + turn % 3), 0]
+        order = suffix_array(seq, max(1, kinds.bit_length()))
+
+        def key(i, seq=seq):
+            return [(0, j) if seq[j] == 0 else (int(seq[j]), 0) for j in range(i, len(seq))]
+
+        assert order.tolist() == sorted(range(len(seq)), key=key)
+        index = FMIndex(seq, kinds)
+        for size in (1, 3):
+            phrases = RANDOM.integers(1, kinds + 1, (5, size))
+            for phrase, low, high in zip(phrases, *index.search(phrases), strict=True):
+                found = sorted(index.locate(np.arange(low, high)).tolist())
+                places = range(len(seq) - size + 1)
+                assert found == [i for i in places if (seq[i : i + size] == phrase).all()]
+
+
+def test_passages_of_a_benchmark(spark, docs, odd, nothing):
+    items = [(1, PASSAGE), (2, "one TWO"), (3, None), (4, "!!"), (None, "w1"), (5, PASSAGE)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    windows = defaultdict(set)
+    for item, text in items:
+        own = words(text, ALNUM) if item else []
+        for i in range(len(own) - min(10, len(own)) + 1 if own else 0):
+            windows[tuple(own[i : i + 10])].add(str(item))
+    for block in (4_000_000, 1):  # all phrases at once, and a block each
+        got = decontaminate.find_passages(docs, bench, block_words=block).collect()
+        assert len(got) == len(TEXTS)
+        for row in got:
+            own, hit, found = words(TEXTS[row.doc_id], ALNUM), set(), set()
+            for k in {len(w) for w in windows}:
+                for i in range(len(own) - k + 1):
+                    if names := windows.get(tuple(own[i : i + k])):
+                        found |= names
+                        hit.update(range(i, i + k))
+            assert (row.n_words, row.n_hit, sorted(row.item_ids)) == (len(own), len(hit), sorted(found))
+    assert decontaminate.find_passages(odd, bench).count() == len(TEXTS) + 4
+    assert decontaminate.find_passages(nothing, bench).count() == 0
+    assert decontaminate.find_passages(docs, bench.limit(0)).where("n_hit > 0").count() == 0
+    cut = {r.doc_id: r.text for r in decontaminate.remove_passages(docs, bench).collect()}
+    assert 0 not in cut and 7 not in cut and cut[4] is None and cut[12] == TEXTS[12]
+    assert words(cut[2], ALNUM) == [w for w in words(TEXTS[2], ALNUM)][:9] + words(TEXTS[2], ALNUM)[-9:] or len(
+        words(cut[2], ALNUM)
+    ) < len(words(TEXTS[2], ALNUM))
+
+
+def test_near_duplicates(docs, odd, nothing):
+    sets = {}
+    for i, text in enumerate(TEXTS):
+        own = words(text)
+        sets[i] = {tuple(own[k : k + 4]) for k in range(max(1, len(own) - 3))} if own else set()
+    root = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    got = minhash.near_duplicates(docs, shingle=4).collect()
+    assert {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got} == {
+        (i, len(sets[i]), root[i], root[i] == i) for i in sets
+    }
+    again = minhash.near_duplicates(odd, shingle=4).collect()
+    assert len(again) == len(TEXTS) + 4
+    assert all(r.component_id is None and r.kept for r in again if r.doc_id is None)
+    assert minhash.near_duplicates(nothing).count() == 0
+
+
+def test_mixture(docs, odd, nothing):
+    rows = mixing.mix_sources(docs).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(TEXTS)))
+    size, taken, target = Counter(), Counter(), {}
+    for r in rows:
+        assert r["size"] == len(words(TEXTS[r.doc_id])) and 0 <= r.taken <= 2 * r["size"]
+        size[r.source] += r["size"]
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()))
+    assert all(abs(taken[s] - target[s]) <= mixing.BLOCK * 2 for s in size)
+    assert sorted(rows) == sorted(mixing.mix_sources(docs.repartition(3)).collect()) or None in size
+    assert mixing.mix_sources(odd).count() == len(TEXTS) + 4
+    assert mixing.mix_sources(nothing).count() == 0
+
+
+def test_seats_are_those_of_the_highest_quotients(spark):
+    for seats, votes in ((17, [53, 24, 23]), (5, [10, 10, 10]), (40, [1000, 1, 1, 90]), (3, [0, 7])):
+        rows = [(k, float(v), seats) for k, v in enumerate(votes)]
+        got = mixing.apportion(
+            spark.createDataFrame(rows, "k int, v double, s long"), [], ["k"], "v", "s"
+        ).collect()
+        quotients = sorted((-v / (2 * s + 1), k) for k, v in enumerate(votes) for s in range(seats))
+        won = Counter(k for q, k in quotients[:seats] if q)
+        assert {r.k: r.quota for r in got} == {k: won[k] for k in range(len(votes))}
+
+
+def test_lines(docs, odd, nothing):
+    def key(line):
+        return line.strip(" \t\n\x0b\x0c\r").translate(UPPER)
+
+    held = defaultdict(set)
+    for i, text in enumerate(TEXTS):
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= 20:
+                held[key(line)].add(i)
+    for row in line_dedup.drop_repeated_lines(docs).collect():
+        lines = (TEXTS[row.doc_id] or "").split("\n")
+        often = {k for k, ids in held.items() if len(ids) >= 3 and max(ids) != row.doc_id}
+        kept = [x for x in lines if key(x) not in often]
+        assert (row.n_lines, row.n_dropped, row.text) == (len(lines), len(lines) - len(kept), "\n".join(kept))
+    assert line_dedup.drop_repeated_lines(odd).count() == len(TEXTS) + 4
+    assert line_dedup.drop_repeated_lines(nothing).count() == 0
+    plan = line_dedup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_passages_that_stand_earlier(docs, odd, nothing):
+    seen = set()
+    expected = {}
+    for i, text in enumerate(TEXTS):
+        own, gone = SPACED.findall(text or ""), set()
+        for k in range(len(own) - 19):
+            window = tuple(own[k : k + 20])
+            if window in seen:
+                gone.update(range(k, k + 20))
+            seen.add(window)
+        kept = " ".join(w for k, w in enumerate(own) if k not in gone)
+        expected[i] = (len(own), len(gone), kept)
+    rows = passage_dedup.drop_repeated_passages(docs).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.text) for r in rows} == expected
+    assert passage_dedup.drop_repeated_passages(odd).count() == len(TEXTS) + 4
+    assert passage_dedup.drop_repeated_passages(nothing).count() == 0
+
+
+def test_permutation_is_a_bijection():
+    for n in (1, 2, 3, 17, 1000, 4097):
+        permutation = tokens.Permutation(n, 9)
+        slots = permutation.slot(np.arange(n))
+        assert sorted(slots.tolist()) == list(range(n))
+        assert permutation.index(slots).tolist() == list(range(n))
+
+
+def test_token_shards_give_the_texts_back(docs, odd, nothing, tmp_path):
+    folder = str(tmp_path / "shards")
+    manifest = tokens.write_token_shards(docs, folder, length=64, rows=100).collect()
+    n = len(manifest)
+    assert sorted(r.slot for r in manifest) == list(range(n))
+    records = np.concatenate(list(tokens.read_slots(folder, 0, n, length=64, rows=100)))
+    part = np.concatenate(list(tokens.read_slots(folder, 95, 105, length=64, rows=100)))
+    assert (part == records[95:105]).all()
+    with open(tokens.VOCABULARY, "rb") as file:
+        encoder = tokens.Encoder(file.read())
+    for i, text in enumerate(TEXTS):
+        own = sorted((r.seq_no, r.slot, r.n_tokens) for r in manifest if r.doc_id == i)
+        ids = [x for _, slot, k in own for x in records[slot][:k].tolist()]
+        assert ids == encoder.encoding.encode_ordinary(text or "") + [tokens.END]
+    assert tokens.write_token_shards(odd, length=64).count() > n
+    assert tokens.write_token_shards(nothing).count() == 0
+
+
+def test_context_tree_is_a_distribution_and_learns(docs, odd, nothing):
+    rows = context_tree.score_texts(docs).collect()
+    small = context_tree.score_texts(docs, block_nodes=300, hot_words=5).collect()
+    for a, b in zip(sorted(rows), sorted(small), strict=True):
+        assert a.n_known == b.n_known and a.score == pytest.approx(b.score)
+        assert a.base_score == pytest.approx(b.base_score)
+    counts, ends = Counter(), 0
+    for r in rows:
+        if not r.held_out:
+            counts.update(words(TEXTS[r.doc_id]))
+            ends += 1
+    total, kinds = sum(counts.values()) + ends, len(counts) + 1
+    for r in rows:
+        own = words(TEXTS[r.doc_id])
+        logs = [np.log10((counts[w] + 1) / (total + kinds + 1)) for w in own]
+        logs.append(np.log10((ends + 1) / (total + kinds + 1)))
+        assert r.base_score == pytest.approx(sum(logs)) and r.n_tokens == len(own) + 1
+        assert r.n_known == sum(counts[w] > 0 for w in own) + 1 and r.train_tokens == total
+    assert next(r for r in rows if r.doc_id == 13).bits_per_byte < 2.5
+    gram = np.array([int.from_bytes(bytes([0, 0, 0, 0, 0x77, b]), "big") for b in range(256)])
+    levels = {d: (np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for d in range(5)}
+    leaves = context_tree._leaves(np.repeat(gram[:9], 3), np.ones(27))
+    for depth, key, odds, one, *_ in context_tree._up(*leaves, None, 4, 0):
+        levels[depth] = (key, context_tree._weight(odds), one)
+    tree = context_tree.Tree(4, levels, 0, 1)
+    assert (10 ** tree.log10(gram)).sum() == pytest.approx(1)
+    assert context_tree.score_texts(odd).count() == len(TEXTS) + 4
+    assert context_tree.score_texts(nothing).count() == 0
+
+
+def test_forest_recall(spark):
+    centres = RANDOM.standard_normal((20, 16)) * 3
+    vectors = centres[RANDOM.integers(20, size=3000)] + RANDOM.standard_normal((3000, 16))
+    bad = [None, [0.0] * 16, [float("nan")] * 16, [float("inf")] + [1.0] * 15, [None] + [1.0] * 15, [], [1.0]]
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    rows += [(100_000 + 100 * k, v, 1) for k, v in enumerate(bad)] + [(None, vectors[0].tolist(), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int").repartition(3)
+    got = defaultdict(dict)
+    for r in forest.nearest(frame, candidates=300).collect():
+        got[r.query_id][r.rank] = (r.vec_id, r.score)
+    hits = 0
+    for q in range(0, 3000, 100):
+        distance = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+        distance[q] = np.inf
+        best = set(np.argsort(distance)[:10].tolist())
+        hits += len(best & {v for v, _ in got[q].values()})
+        assert sorted(got[q]) == list(range(1, 11))
+        assert all(s == pytest.approx(distance[v]) for v, s in got[q].values())
+    assert hits >= 0.9 * 300
+    assert set(got) == set(range(0, 3000, 100))
+    assert forest.nearest(frame.limit(0)).count() == 0
+
+
+def test_quality_classifier(spark):
+    rows, labels = [], []
+    for i in range(400):
+        good = i % 4 > 0
+        text = text_of(60) if good else " ".join(f"{w.upper()}!!" for w in text_of(40).split())
+        rows.append((i, text if i else None, f"s{i % 5}", "en", 0.5))
+        if i % 3:
+            labels.append((i, int(good), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, score double")
+    told = spark.createDataFrame([*labels, (None, 1, 0), (1, None, 0)], "doc_id long, quality int, toxic int")
+    classifier = cotraining.train(docs, told)
+    scored = cotraining.score(docs, classifier).withColumn("stays", cotraining.kept()).collect()
+    assert len(scored) == 400
+    assert np.mean([r.stays == (r.doc_id % 4 > 0) for r in scored]) > 0.95
+    assert cotraining.train(docs, told.limit(0)) is None
+    assert cotraining.score(docs, None).where(cotraining.kept()).count() == 400
+    assert cotraining.score(docs.limit(0), classifier).count() == 0
+
+
+def test_page_text(spark):
+    field = page_crf.train(page_crf.labelled_pages(150))
+    held = page_crf.labelled_pages(60, seed=77)
+    right = [a == b for found, truth in held for a, b in zip(field.decode(found), truth, strict=True)]
+    assert np.mean(right) > 0.97
+    page = (
+        "<html><head><title>No</title><script>if (a < b) x('</p>')</script></head><body><nav><a href='#'>Home</a>"
+        "</nav><article><h1>A &amp; B</h1><p>First\n  line<br>goes on &eacute;.<p>Second <b>bold</b> one.</article>"
+        "<div class='comments'><p>Nice!</p></div><footer>&copy; 2020</footer>"
+    )
+    rows = [(1, "u", page, 3), (1, "u", page, 3), (None, None, None, 3), (3, "u", "", 3), (4, "u", "<<p><!-- <a", 3)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
+    got = page_crf.extract(frame).collect()
+    main = "A & B\nFirst line goes on é.\nSecond bold one."
+    assert [r.text for r in got if r.page_id == 1] == [main, main]
+    assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got)
+    assert page_crf.extract(frame.limit(0)).count() == 0
+    assert [b.text for b in markup.blocks("<ul><li>a<li>b</ul><div " + "x" * 50_000)] == ["a", "b"]

@@ -38,10 +38,12 @@ def duplicate_keys(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
 def latest(rows: DataFrame, key: list[str] = KEY) -> DataFrame:
     """Newest observation per key; the order in which batches arrived is irrelevant.
 
-    Requires that copies with equal time agree, which ``conflicting`` over
-    ``key + ["observed_at"]`` checks.
+    Copies with equal time should agree, which ``conflicting`` over ``key + ["observed_at"]``
+    checks; where they do not, the largest value is returned.
     """
     return rows.groupBy(*key).agg(
-        F.max_by("available_rooms", "observed_at").alias("available_rooms"),
+        F.max_by("available_rooms", F.struct("observed_at", "available_rooms")).alias(
+            "available_rooms"
+        ),
         F.max("observed_at").alias("observed_at"),
     )

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from staytally.workspace import Workspace, broadcast_if_small
+from staytally.workspace import Workspace
 
 
 def _in_ranges(
     rows: DataFrame, group: str, order: list[str], workspace: Workspace
 ) -> DataFrame:
     """Landed rows with their ascending ``_row`` number and ``_range``."""
+    # The range sampling is a pass of its own: it and the numbering read landed rows.
+    rows = workspace.land(rows, f"rows-{group}")
     ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
     numbered = ranged.withColumn("_row", F.monotonically_increasing_id())
     # Landed, because a recomputed range could number equal rows differently.
@@ -49,7 +51,7 @@ def number_rows(
 ) -> DataFrame:
     """Add each row's 0-based ``position`` within its group and the group's ``total``."""
     ranges = _in_ranges(rows, group, order, workspace)
-    totals = broadcast_if_small(_totals(ranges, group, F.lit(1).cast("bigint")))
+    totals = workspace.land(_totals(ranges, group, F.lit(1).cast("bigint")), f"totals-{group}")
     return (
         ranges.join(totals, [group, "_range"])
         .withColumn("position", F.col("_row") - F.col("_first") + F.col("_earlier"))
@@ -62,7 +64,8 @@ def weighted_ranks(
 ) -> DataFrame:
     """Add ``first`` and ``last``, the 0-based ranks a value's copies take, and ``total``."""
     ranges = _in_ranges(values, group, [value], workspace)
-    totals = broadcast_if_small(_totals(ranges, group, F.col(weight)).drop("_first"))
+    totals = _totals(ranges, group, F.col(weight)).drop("_first")
+    totals = workspace.land(totals, f"totals-{group}")
     so_far = Window.partitionBy(group, "_range").orderBy("_row").rowsBetween(
         Window.unboundedPreceding, 0
     )

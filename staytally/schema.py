@@ -27,7 +27,7 @@ COLUMNS = SNAPSHOT_SCHEMA.fieldNames()
 PAGE_SCHEMA = T.StructType(
     [
         T.StructField("hotel_id", T.StringType()),
-        T.StructField("page_seq", T.IntegerType()),
+        T.StructField("page_seq", T.LongType()),
         T.StructField("request_cursor", T.StringType()),
         T.StructField("body", T.StringType()),
     ]
@@ -40,24 +40,23 @@ MAX_INT64 = 2**63 - 1
 class Limits:
     """Acceptance policy. A batch over a limit is refused whole, never trimmed.
 
-    ``None`` lifts a row, item or page limit: Spark spills, so these are policy
-    and not memory protection.
+    ``None``, the default, is no limit: Spark spills, so these are policy and not
+    memory protection.
     """
 
-    max_rows: int | None = 100_000
-    max_items: int | None = 100_000
-    max_pages: int | None = 1_000
-    max_response_bytes: int = 2 * 1024 * 1024
-    max_cursor_chars: int = 4_096
+    max_rows: int | None = None
+    max_items: int | None = None
+    max_pages: int | None = None
+    max_response_bytes: int | None = None
+    max_cursor_chars: int | None = None
 
     def __post_init__(self) -> None:
         for field in fields(self):
             value = getattr(self, field.name)
-            optional = field.name in ("max_rows", "max_items", "max_pages")
-            if value is None and optional:
+            if value is None:
                 continue
             if type(value) is not int or value < 1:
                 raise SnapshotError("bad_option", f"{field.name} must be a positive integer")
 
 
-UNLIMITED = Limits(max_rows=None, max_items=None, max_pages=None)
+UNLIMITED = Limits()

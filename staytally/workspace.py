@@ -2,29 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from staytally import fs
 
-# Identifiers are at most 128 bytes, so a broadcast of this many (hotel, room)
-# pairs stays below 64 MiB.
-BROADCAST_ROWS = 200_000
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode."""
+    """The session's checkpoint folder, which all executors must reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="staytally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured.rstrip("/")
 
 
 class Workspace:
@@ -53,12 +44,3 @@ def spread(frame: DataFrame, *keys: str) -> DataFrame:
     """
     partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return frame.repartition(partitions, *keys)
-
-
-def small_enough(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    return frame.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting; larger sides keep the shuffle join (AQE splits skew)."""
-    return F.broadcast(frame) if small_enough(frame, rows) else frame

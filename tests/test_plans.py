@@ -12,7 +12,6 @@ from staytally.plans.collect import land_pages, run_options
 from staytally.schema import KEY, Limits
 from staytally.sources import pages as P
 from staytally.sources.inventory import expected_rooms
-from staytally.workspace import broadcast_if_small
 
 
 def plan(frame):
@@ -120,17 +119,3 @@ def test_membership_tally_has_no_join(spark):
     )
     tally = coverage.room_tally(expected_rooms(hotels(spark)), cells, 3)
     assert "Join" not in plan(tally) and exchanges(tally) == 1
-
-
-def test_broadcast_only_below_the_counted_bound(spark):
-    dimension = spark.range(50).selectExpr("concat('h', id) AS hotel_id", "'r' AS room_type_id")
-    facts = spark.range(100).selectExpr("concat('h', id) AS hotel_id", "'r' AS room_type_id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        keys = ["hotel_id", "room_type_id"]
-        small = facts.join(broadcast_if_small(dimension, rows=50), keys)
-        large = facts.join(broadcast_if_small(dimension, rows=49), keys)
-        assert "BroadcastHashJoin" in plan(small)
-        assert "Broadcast" not in plan(large)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

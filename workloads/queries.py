@@ -136,7 +136,7 @@ def page_shape_report(spark: SparkSession, folder: str) -> DataFrame:
     """Page rules over well-formed and malformed bodies built around each record."""
     bodies = raw_items(spark, folder).selectExpr(
         "hotel_id",
-        "int(event_id) AS page_seq",
+        "bigint(event_id) AS page_seq",
         "string(NULL) AS request_cursor",
         """CASE event_id % 12
             WHEN 1 THEN concat('[', item, ']')
@@ -152,7 +152,7 @@ def page_shape_report(spark: SparkSession, folder: str) -> DataFrame:
             WHEN 11 THEN concat('{"items": [', item, '], "next_cursor": "', repeat('x', 4097), '"}')
             ELSE concat('{"items": [', item, '], "next_cursor": null}') END AS body""",
     )
-    decoded = pages.decode_pages(bodies)
+    decoded = pages.decode_pages(bodies, Limits(max_cursor_chars=4_096))
     return decoded.groupBy("page_rule").agg(
         F.count("*").alias("pages"), F.sum(F.size("items")).alias("accepted_items")
     )
@@ -310,7 +310,7 @@ def _read_records(spark: SparkSession, folder: str) -> DataFrame:
     """Each event as a one-record page, through decode and the local rules."""
     bodies = raw_items(spark, folder).selectExpr(
         "hotel_id",
-        "int(event_id) AS page_seq",
+        "bigint(event_id) AS page_seq",
         "string(NULL) AS request_cursor",
         """concat('{"items": [', item, '], "next_cursor": null}') AS body""",
     )
@@ -570,8 +570,8 @@ def partition_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def affected_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    days = merge.affected_days(order_lines(spark, folder))
-    return spark.createDataFrame([(str(day),) for day in days], "snapshot_date string")
+    days = order_lines(spark, folder).select("snapshot_date").distinct()
+    return days.select(F.col("snapshot_date").cast("string"))
 
 
 @query

@@ -304,7 +304,6 @@ def drop_repeated_passages(
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    scratch.free_shuffles()  # the strings have travelled; next, the texts do
     out = docs.join(spans, "doc_id", "left").mapInArrow(
         _kept, "doc_id bigint, n_words bigint, n_removed bigint, text string"
     )

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
 from uuid import uuid4
 
@@ -11,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staytally import fs
 
+#: Spark's setting by which a finished query's shuffle files are deleted at once.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only a plain local session may go without."""
@@ -25,7 +27,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """One run's own folder. A landed table cuts lineage and outlives lost executors.
+    """One run's own folder. A landed table cuts lineage and outlives lost executors; the shuffles
+    that led to it are deleted once it stands.
 
     ``drop`` frees a table early; the folder goes when the driver's Python ends, because
     results are lazy and may read it until then.
@@ -40,7 +43,12 @@ class Scratch:
     def land(self, frame: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
         self._tables += 1
         target = f"{self.path}/{self._tables:03d}-{label}"
-        frame.write.parquet(target, compression=compression)
+        before = self.spark.conf.get(_FREE_SHUFFLES)
+        self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            frame.write.parquet(target, compression=compression)
+        finally:
+            self.spark.conf.set(_FREE_SHUFFLES, before)
         landed = self.spark.read.schema(frame.schema).parquet(target)
         landed.llm_path = target
         return landed
@@ -48,12 +56,6 @@ class Scratch:
     def drop(self, landed: DataFrame) -> None:
         fs.delete(self.spark, landed.llm_path)
 
-    def free_shuffles(self) -> None:
-        """Spark deletes the files of a finished shuffle once the driver has collected its plan;
-        between two large ones it is asked to."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def _close(self) -> None:
         context = self.spark.sparkContext
         if getattr(context, "_jsc", None) is not None:

@@ -6,8 +6,12 @@
    components proposes one centre, the class with the most links so far, with each class of
    another component: never all pairs. Proposals pass on signatures, then are confirmed on
    full sets, and components are found anew.
-3. Once the pairs left across components are few, or a round no longer lessens them, they are
-   all proposed: no link between different texts that share a bucket is lost.
+3. Once the pairs left across components are ``PAIRS_A_MEMBER`` for a bucket's member on average,
+   or a round no longer lessens them, each such bucket compares its classes in blocks: signatures
+   and full sets travel a class and block, never a pair, and only links come out. No link between
+   different texts that share a bucket is lost.
+
+Buckets that hold exactly the same classes are one bucket (told by 128 bits of their members).
 
 Two documents at the similarity bound share no bucket with a chance of (1 - 0.8^5)^32, 3 in a
 million; the signature bound lies eight standard deviations below the link's.
@@ -35,6 +39,10 @@ SHINGLE, PERCENT = 5, 80
 ROWS, BANDS = 5, 32
 #: Below this share of equal minima a pair is not looked at on full sets.
 SIGNATURE_SLACK = 0.25
+#: Comparisons in blocks that cost less than another round of centres.
+PAIRS_A_MEMBER = 64
+#: Classes and shingles of a block on average; two blocks are compared by one task.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 19
 
 _RANDOM = np.random.default_rng(7_919)
 _MULTIPLY = _RANDOM.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -170,6 +178,67 @@ def _alike(slack: float, percent: int):
     return run
 
 
+def _linked(sets: list[bytes], signatures: np.ndarray, can: np.ndarray, percent: int):
+    """Pairs (i, j) of classes, i < j, that are links; can[i, j] is false where none is sought."""
+    sizes = np.array([len(s) // 8 for s in sets])
+    first = np.cumsum(sizes) - sizes
+    _, ids = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_inverse=True)
+    held = np.zeros(len(ids), bool)
+    least = (percent / 100 - SIGNATURE_SLACK) * ROWS * BANDS
+    for i in range(len(sets) - 1):
+        later = i + 1 + np.flatnonzero(can[i, i + 1 :])
+        later = later[(signatures[later] == signatures[i]).sum(1) >= least]
+        if not len(later):
+            continue
+        own = ids[first[i] : first[i] + sizes[i]]
+        held[own] = True
+        at = first[later[0]]
+        both = np.add.reduceat(held[ids[at:]], first[later[0] :] - at, dtype=np.int64)
+        held[own] = False
+        both = both[later - later[0]]
+        for j in later[100 * both >= percent * (sizes[i] + sizes[later] - both)].tolist():
+            yield i, j
+
+
+def _compare(percent: int):
+    """Rows come sorted by group (bucket, low, high): the classes of one or two blocks."""
+
+    def links(group: pa.Table) -> Iterator[tuple[bytes, bytes]]:
+        if group.num_rows < 2:
+            return
+        n, root, own = (group.column(k).to_numpy() for k in ("n", "root", "own"))
+        can = (root[:, None] != root) & (100 * n[:, None] >= percent * n) & (100 * n >= percent * n[:, None])
+        if group.column("low")[0] != group.column("high")[0]:
+            can &= own[:, None] != own
+        if not can.any():
+            return
+        signatures = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint32)
+        digest = group.column("digest").to_pylist()
+        sets = group.column("shingles").to_pylist()
+        for i, j in _linked(sets, signatures.reshape(len(n), -1), can, percent):
+            yield min(digest[i], digest[j]), max(digest[i], digest[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(found: set) -> pa.RecordBatch:
+            a, b = zip(*found, strict=True) if found else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+        carried = None  # the last group may go on in the next batch
+        for batch in W.slices(batches, "shingles"):
+            table = pa.Table.from_batches([batch])
+            if carried is not None:
+                table = pa.concat_tables([carried, table])
+            keys = [table.column(k).to_numpy() for k in ("bucket", "low", "high")]
+            new = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+            carried = table.slice(cuts[-1])
+            yield out({p for i, j in zip(cuts, cuts[1:], strict=False) for p in links(table.slice(i, j - i))})
+        if carried is not None:
+            yield out(set(links(carried)))
+
+    return run
+
+
 def _with_both(pairs: DataFrame, side: DataFrame, value: str, *more: str) -> DataFrame:
     """Values of both ends of the pairs, as x and y (and n_x, n_y)."""
     x = side.select(F.col("digest").alias("a"), F.col(value).alias("x"), *[F.col(m).alias(f"{m}_x") for m in more])
@@ -223,27 +292,24 @@ class _Linker:
             pairs = counts.agg(F.sum("c") / 2).first()[0]
             if not pairs:
                 return roots
-            last = pairs <= limit or (before is not None and pairs > 0.9 * before)
-            if last:
-                proposed = self._across(left)
-            else:
-                centres = self._centres(left, links, used)
-                used = centres if used is None else land(used.unionByName(centres), "used")
-                proposed = left.join(centres, "bucket").where("root <> centre_root")
-                proposed = proposed.select(
-                    F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")
-                )
-            proposed = proposed.distinct()
+            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            few = links is not None and pairs <= PAIRS_A_MEMBER * limit
+            if few or (before is not None and pairs > 0.9 * before):
+                new = self._across(left)
+                return components(known.unionByName(self.edges(new)), self.scratch)
+            centres = self._centres(left, links, used)
+            used = centres if used is None else land(used.unionByName(centres), "used")
+            proposed = left.join(centres, "bucket").where("root <> centre_root")
+            proposed = proposed.select(
+                F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")
+            ).distinct()
             if tested is not None:
                 proposed = proposed.join(tested, ["a", "b"], "left_anti")
             proposed = land(proposed, "proposed")
             new = self.links(proposed)
             tested = proposed if tested is None else tested.unionByName(proposed)
             links = new if links is None else links.unionByName(new)
-            known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
             roots = components(known.unionByName(self.edges(new)), self.scratch)
-            if last:
-                return roots
             before = pairs
 
     def _centres(self, left: DataFrame, links: DataFrame | None, used: DataFrame | None) -> DataFrame:
@@ -264,21 +330,21 @@ class _Linker:
         return self.scratch.land(best, "centres")
 
     def _across(self, left: DataFrame) -> DataFrame:
-        percent = self.percent
-        x, y = (
-            left.select(
-                "bucket", F.col("digest").alias(name), F.col("root").alias(f"r_{name}"), F.col("n").alias(f"n_{name}")
-            )
-            for name in ("a", "b")
-        )
-        found = x.join(
-            y,
-            (x.bucket == y.bucket)
-            & (F.col("r_a") < F.col("r_b"))
-            & (100 * F.col("n_a") >= percent * F.col("n_b"))
-            & (100 * F.col("n_b") >= percent * F.col("n_a")),
+        """All links between components within a bucket; a bucket of several blocks is compared
+        block by block."""
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+        blocks = left.groupBy("bucket").agg(blocks.alias("blocks"))
+        rows = left.join(blocks, "bucket").withColumn("own", F.expr("pmod(xxhash64(digest), blocks)"))
+        rows = rows.join(self.classes.select("digest", "signature"), "digest").join(self.sets, "digest")
+        rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        rows = rows.select(
+            "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "own", "digest", "n", "root", "signature", "shingles",
         )
-        return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        group = ("bucket", "low", "high")
+        found = rows.repartition(*group).sortWithinPartitions(*group)
+        found = found.mapInArrow(_compare(self.percent), "a binary, b binary")
+        return self.scratch.land(found.distinct(), "links")
 
 
 def near_duplicates(
@@ -307,7 +373,12 @@ def near_duplicates(
         F.xxhash64(F.lit(k), F.substring("signature", k * width + 1, width)) for k in range(BANDS)
     ]
     bands = classes.select("digest", F.explode(F.array(*band)).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    shared = bands.groupBy("bucket").agg(
+        F.count("*").alias("held"),
+        F.bit_xor(F.xxhash64("digest")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("y"),
+    )
+    shared = shared.where("held > 1").groupBy("held", "x", "y").agg(F.min("bucket").alias("bucket"))
     members = scratch.land(bands.join(shared.select("bucket"), "bucket", "left_semi"), "members")
 
     wanted = members.select("digest").distinct()

@@ -40,13 +40,13 @@ class Scratch:
         self._tables = 0
         atexit.register(self._close)
 
-    def land(self, frame: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+    def land(self, frame: DataFrame, label: str, compression: str = "snappy", **options) -> DataFrame:
         self._tables += 1
         target = f"{self.path}/{self._tables:03d}-{label}"
         before = self.spark.conf.get(_FREE_SHUFFLES)
         self.spark.conf.set(_FREE_SHUFFLES, "true")
         try:
-            frame.write.parquet(target, compression=compression)
+            frame.write.options(**options).parquet(target, compression=compression)
         finally:
             self.spark.conf.set(_FREE_SHUFFLES, before)
         landed = self.spark.read.schema(frame.schema).parquet(target)

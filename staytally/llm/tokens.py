@@ -4,9 +4,10 @@ A sequence holds up to ``LENGTH`` ids of one document, the last one closed by th
 filled with it; it is a record of ``2 * LENGTH`` bytes, little-endian. Sequences are landed once
 and numbered in the order of the landed parts. A keyed Feistel permutation, walked until it
 falls inside the number of sequences, gives each its slot; record ``slot % ROWS`` of shard
-``slot // ROWS`` is its place, so a reader seeks to any slot and resumes there. A task
-gets one shard, sorted, and writes it under a name of its own before moving it into place:
-a repeated task writes the same bytes.
+``slot // ROWS`` is its place, so a reader seeks to any slot and resumes there. The sequences
+are landed again by slot, a file a shard, and the first table goes before the shards are written
+from the second. A task gets whole shards, sorted, and writes each under a name of its own
+before moving it into place: a repeated task writes the same bytes.
 
 The vocabulary's path is a parameter; its file is read by the driver and broadcast (under
 1 MB). Null and empty texts are a sequence of the end id alone. Repeated rows and ids are
@@ -218,8 +219,7 @@ def write_token_shards(
 ) -> DataFrame:
     """The manifest: one row a sequence with its slot, shard, byte offset and record checksum.
 
-    The shards are written to ``folder`` (a folder of its own in the shared one, if none is
-    given) as the manifest is read.
+    The shards are written to ``folder``, or if none is given to one of its own in the shared one.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "tokens")
@@ -256,11 +256,17 @@ def write_token_shards(
     out = StructType.fromDDL(
         "seq_no bigint, n_tokens int, slot bigint, shard int, byte_offset bigint, crc32 bigint"
     )
-    return (
-        placed.repartitionById(shards, F.col("shard"))
-        .sortWithinPartitions("slot")
-        .mapInArrow(_written(folder, rows, length), StructType([fields[0], *out.fields]))
+    ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
+    # A file of one row group is never divided among tasks.
+    whole = {"parquet.block.size": max(1 << 27, 4 * length * rows), "maxRecordsPerFile": 0}
+    ordered = scratch.land(ordered, "ordered", compression="zstd", **whole)
+    scratch.drop(landed)
+    manifest = ordered.mapInArrow(
+        _written(folder, rows, length), StructType([fields[0], *out.fields])
     )
+    manifest = scratch.land(manifest, "manifest")
+    scratch.drop(ordered)
+    return manifest
 
 
 def read_slots(folder: str, first: int, last: int, *, length: int = LENGTH, rows: int = ROWS):

@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from staytally.llm import (
@@ -294,6 +295,24 @@ def test_forest_recall(spark):
     assert forest.nearest(frame.limit(0)).count() == 0
 
 
+def test_forest_is_exact_on_a_full_shard(spark):
+    n = forest.SHARD
+    vectors = RANDOM.standard_normal((n, 64)).astype(np.float32).astype(float)
+    columns = [pa.array(np.arange(n)), pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 64)]
+    columns[1] = columns[1].cast(pa.list_(pa.float64()))
+    frame = spark.createDataFrame(pa.table(columns, names=["vec_id", "embedding"]))
+    whole = forest.nearest(frame.coalesce(1), every=4000).collect()
+    got = defaultdict(dict)
+    for r in whole:
+        got[r.query_id][r.rank] = r.vec_id
+    assert sorted(got) == list(range(0, n, 4000))
+    for q, found in got.items():
+        distance = ((vectors - vectors[q]) ** 2).sum(1)
+        distance[q] = np.inf
+        assert [found[rank] for rank in range(1, 11)] == np.argsort(distance)[:10].tolist()
+    assert sorted(whole) == sorted(forest.nearest(frame.repartition(5), every=4000).collect())
+
+
 def test_quality_classifier(spark):
     rows, labels = [], []
     for i in range(400):

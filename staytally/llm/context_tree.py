@@ -7,11 +7,14 @@ own Krichevsky-Trofimov block probability against the product of its children's
 ones; the same weights mix the estimates of all depths when a byte is predicted. A node that was
 never seen predicts one half.
 
-Counting: a task counts its (DEPTH + 1)-byte strings, Spark sums them, and all contexts with the
-same last two bytes are one group in which the tree is built from the leaves up. Groups are
-bounded by the number of contexts of ``DEPTH - 2`` more bytes, not by the corpus. The tree goes
-to the scorers in blocks of at most ``BLOCK_NODES`` nodes, one pass over the documents each, a
-position being scored by the block of its last two bytes: memory holds at any corpus size.
+Counting: texts are landed in chunks of ``CHUNK_BYTES``. A chunk's distinct (DEPTH + 1)-byte strings
+are listed with their counts, and Spark sums them. All contexts with the same last two bytes are
+one group in which the tree is built from the leaves up; a group of over ``BLOCK_NODES`` nodes is
+cut by one more byte. The driver sees only sums over groups, for the nodes above them.
+
+Scoring: each group builds its part again, knows the nodes above, and answers every string that
+any text holds. A chunk's strings are joined to their answers, which meet its texts by its number.
+So no task and not the driver holds more of the tree than a group or the strings of a chunk.
 
 The base score needs each word's count. The most frequent ``HOT_WORDS`` words are broadcast;
 all others are joined by their 64-bit hash, so no frequent word is a join key.
@@ -33,16 +36,17 @@ from pyspark.sql import DataFrame, functions as F
 from staytally.llm import words as W
 from staytally.llm.scratch import Scratch
 
-DEPTH = 4
+DEPTH = 5
 FOLDS, HELD_FOLD = 7, 2
 BLOCK_NODES = 2_000_000
 HOT_WORDS = 1 << 19
+CHUNK_BYTES = 32 << 20
 _MERGE = 1 << 22
 _SLOTS = 22
 _GRAM, _WORD = 0, 1
 #: The end token's key among word hashes; a word's hash is shifted clear of it.
 _END_WORD = -1
-_NODE = "depth int, key bigint, own double, one double, n0 double, n1 double, weighted double"
+_ROOT = "depth int, key bigint, n0 double, n1 double, weighted double"
 
 
 def _texts(found: W.Words, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,15 +91,15 @@ def _counted(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nda
 
 
 class _Tally:
-    def __init__(self, kind: int) -> None:
-        self.kind, self.values, self.counts, self.held = kind, [], [], 0
+    def __init__(self, kind: int, chunk: int) -> None:
+        self.kind, self.chunk, self.values, self.counts, self.held = kind, chunk, [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, counted: bool = True) -> None:
         keys = np.sort(keys)
         if len(keys):
             head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             self.values.append(keys[head])
-            self.counts.append(np.diff(np.r_[head, len(keys)]))
+            self.counts.append(np.diff(np.r_[head, len(keys)]) * counted)
             self.held += len(head)
 
     def rows(self, least: int) -> Iterator[pa.RecordBatch]:
@@ -106,8 +110,13 @@ class _Tally:
             if len(value) * 2 >= least:
                 self.values, self.counts, self.held = [], [], 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(value), self.kind, np.int32)), pa.array(value), pa.array(count)],
-                    names=["kind", "key", "n"],
+                    [
+                        pa.array(np.full(len(value), self.kind, np.int32)),
+                        pa.array(np.full(len(value), self.chunk)),
+                        pa.array(value),
+                        pa.array(count),
+                    ],
+                    names=["kind", "chunk", "key", "n"],
                 )
 
 
@@ -115,13 +124,43 @@ def _word_keys(found: W.Words) -> np.ndarray:
     return (found.hashes() >> np.uint64(1)).astype(np.int64)
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a number each, and the number of the chunk that they are scored in."""
+    chunk = row = TaskContext.get().partitionId() << 40
+    held = 0
+    for batch in W.slices(batches, "text"):
+        n = batch.num_rows
+        columns = [*batch.columns, pa.array(np.arange(row, row + n)), pa.array(np.full(n, chunk))]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "rid", "chunk"])
+        row, held = row + n, held + batch.column("text").nbytes
+        if held >= CHUNK_BYTES:
+            chunk, held = chunk + 1, 0
+
+
 def _count(depth: int):
+    """Strings of each chunk (none counted in held-out texts) and words of the training texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, words = _Tally(_GRAM), _Tally(_WORD)
+        grams, words = _Tally(_GRAM, -1), _Tally(_WORD, -1)
         for batch in W.slices(batches, "text"):
             found = W.scan(batch.column("text"), W.SPACED, True)
-            grams.add(_grams(*_texts(found, depth), depth))
-            words.add(np.r_[_word_keys(found), np.full(batch.num_rows, _END_WORD)])
+            train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+            chunk = batch.column("chunk").to_numpy()
+            data, begin = _texts(found, depth)
+            keys, n_bytes = _grams(data, begin, depth), np.diff(np.r_[begin, len(data) + depth]) - depth
+            counted, ends = np.repeat(train, n_bytes), np.r_[0, np.cumsum(n_bytes)]
+            cuts = np.r_[0, np.flatnonzero(np.diff(chunk)) + 1, len(chunk)]
+            for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if i == j:
+                    continue
+                if chunk[i] != grams.chunk:
+                    yield from grams.rows(0)
+                    grams = _Tally(_GRAM, int(chunk[i]))
+                own = slice(ends[i], ends[j])
+                grams.add(keys[own][counted[own]])
+                grams.add(keys[own][~counted[own]], counted=False)
+            own = _word_keys(found)[np.repeat(train, found.counts())]
+            words.add(np.r_[own, np.full(int(train.sum()), _END_WORD)])
             for tally in (grams, words):
                 yield from tally.rows(_MERGE)
         for tally in (grams, words):
@@ -179,28 +218,48 @@ def _up(key, n0, n1, weighted, depth: int, down_to: int):
         key, n0, n1, weighted = _summed((context << 8) | (key & 0xFF), n0, n1, both)
 
 
-def _build(depth: int):
+def _own_nodes(group: pa.Table, depth: int):
+    """Nodes of a group of contexts from ``depth`` to the group's root."""
+    count = group.column("n").to_numpy()
+    seen = np.flatnonzero(count)
+    if len(seen):
+        gram, root = group.column("key").to_numpy()[seen], group.column("root")[0].as_py()
+        yield from _up(*_leaves(gram, count[seen]), None, depth, root)
+
+
+def _roots(depth: int):
     def run(group: pa.Table) -> pa.Table:
-        gram, count = group.column("key").to_numpy(), group.column("n").to_numpy()
-        parts = []
-        for level, *columns in _up(*_leaves(gram, count), None, depth, 2):
-            arrays = [pa.array(np.full(len(columns[0]), level, np.int32)), *map(pa.array, columns)]
-            names = ["depth", "key", "own", "one", "n0", "n1", "weighted"]
-            parts.append(pa.table(arrays, names=names))
-        return pa.concat_tables(parts)
+        level, key, n0, n1, weighted = 0, np.zeros(0, np.int64), *[np.zeros(0)] * 3
+        for level, key, _, _, n0, n1, weighted in _own_nodes(group, depth):
+            pass
+        columns = [np.full(len(key), level, np.int32), key, n0, n1, weighted]
+        return pa.table([*map(pa.array, columns)], names=["depth", "key", "n0", "n1", "weighted"])
 
     return run
 
 
-class Tree:
-    """Nodes of a block: per depth sorted keys, the weight of the own estimate, P(one)."""
+def _answers(held, depth: int):
+    """log10 of the probability of each string's byte, for all strings of a group."""
+
+    def run(group: pa.Table) -> pa.Table:
+        levels = dict(held.value)
+        for level, key, odds, one, *_ in _own_nodes(group, depth):
+            levels[level] = (key, _weight(odds), one)
+        root = group.column("root")[0].as_py()
+        tree = Tree(depth, levels, group.column("contexts")[0].as_py(), root)
+        gram = group.column("key").to_numpy()
+        parts = [tree.log10(gram[i : i + (1 << 18)]) for i in range(0, len(gram), 1 << 18)]
+        return pa.table([pa.array(gram), pa.array(np.concatenate(parts))], names=["key", "answer"])
+
+    return run
 
-    def __init__(self, depth: int, levels: dict, block: int, blocks: int) -> None:
-        self.depth, self.levels, self.block, self.blocks = depth, levels, block, blocks
-        self.grams = None
 
-    def mine(self, gram: np.ndarray) -> np.ndarray:
-        return (gram >> 8 & 0xFFFF) % self.blocks == self.block
+class Tree:
+    """Per depth sorted keys, the weight of the own estimate, P(one): from depth ``root`` on the
+    nodes of one group of contexts, above it those of all."""
+
+    def __init__(self, depth: int, levels: dict, contexts: int, root: int) -> None:
+        self.depth, self.levels, self.contexts, self.root = depth, levels, contexts, root
 
     def log10(self, gram: np.ndarray) -> np.ndarray:
         """log10 of the probability of each byte in its context."""
@@ -220,13 +279,13 @@ class Tree:
             total += np.log10(np.where(bit == 1, p, 1 - p))
         return total
 
-    def prepare(self, gram: np.ndarray) -> None:
-        """The answers for the strings of the training texts, in a table by hash."""
-        self.grams = np.sort(gram)
-        self.answers = np.concatenate(
-            [self.log10(self.grams[i : i + (1 << 18)]) for i in range(0, len(gram), 1 << 18)]
-            or [np.zeros(0)]
-        )
+
+class _Known:
+    """The answers for a chunk's strings, in a table by hash."""
+
+    def __init__(self, gram: np.ndarray, answer: np.ndarray) -> None:
+        order = np.argsort(gram)
+        self.grams, self.answers = gram[order], answer[order]
         self.slots = np.zeros(1 << _SLOTS, np.int32)
         self.slots[self._slot(self.grams)] = np.arange(len(gram))
 
@@ -235,71 +294,53 @@ class Tree:
         return ((gram.astype(np.uint64) * W.BASE) >> np.uint64(64 - _SLOTS)).astype(np.int64)
 
     def lookup(self, gram: np.ndarray) -> np.ndarray:
-        if not len(self.grams):
-            return self.log10(gram)
         at = self.slots[self._slot(gram)]
-        out = self.answers[at]
         miss = np.flatnonzero(self.grams[at] != gram)
-        if len(miss):
-            key, back = np.unique(gram[miss], return_inverse=True)
-            near = np.minimum(np.searchsorted(self.grams, key), len(self.grams) - 1)
-            found, answer = self.grams[near] == key, self.answers[near]
-            answer[~found] = self.log10(key[~found])
-            out[miss] = answer[back]
-        return out
-
-
-_PREPARED: dict[int, Tree] = {}
+        if len(miss):  # another string's slot
+            at[miss] = np.searchsorted(self.grams, gram[miss])
+        return self.answers[at]
 
 
 def _score(held, depth: int):
-    """Adds a block's share to each text's score; the first block also does the words."""
+    """Scores a chunk's texts by the answers for its strings."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, gram, hot, hot_counts = held.value
-        if id(tree) not in _PREPARED:
-            _PREPARED.clear()  # one block at a time; a worker may serve several tasks
-            tree.prepare(gram)
-            _PREPARED[id(tree)] = tree
-        row = TaskContext.get().partitionId() << 40
-        for batch in W.slices(batches, "text"):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        hot, hot_counts = held.value
+        known, parts = _Known(answers.column("key").to_numpy(), answers.column("answer").to_numpy()), []
+        for batch in W.slices(iter(texts.to_batches()), "text"):
             found = W.scan(batch.column("text"), W.SPACED, True)
             data, begin = _texts(found, depth)
-            grams = _grams(data, begin, depth)
             n_bytes = np.diff(np.r_[begin, len(data) + depth]) - depth
-            value = tree.lookup(grams) if tree.blocks == 1 else np.zeros(len(grams))
-            if tree.blocks > 1:
-                mine = np.flatnonzero(tree.mine(grams))
-                value[mine] = tree.lookup(grams[mine])
+            value = known.lookup(_grams(data, begin, depth))
             score = np.add.reduceat(value, np.cumsum(n_bytes) - n_bytes)
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            columns["score"] = pa.array(columns["score"].to_numpy() + score)
-            if tree.block == 0:
-                keys, counts = _word_keys(found), found.counts()
-                at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
-                is_hot = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
-                logs = np.where(is_hot, np.log10(hot_counts[at] + 1.0), 0) if len(hot) else is_hot * 0.0
-                text = found.text_of()
-                sums = np.bincount(text, logs, len(counts)).astype(float)  # of no words: integers
-                known = np.bincount(text, is_hot, len(counts)).astype(np.int64)
-                rare = keys[~is_hot]
-                cuts = np.searchsorted(text[~is_hot], np.arange(len(counts) + 1))
-                columns |= {
-                    "rid": pa.array(np.arange(row, row + len(counts))),
-                    "n_tokens": pa.array(counts + 1),
-                    "n_bytes": pa.array(n_bytes),
-                    "hot_known": pa.array(known),
-                    "hot_logs": pa.array(sums),
-                    "rare": pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), pa.array(rare)).cast(pa.list_(pa.int64())),
-                }
-                row += len(counts)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            keys, counts = _word_keys(found), found.counts()
+            at = np.minimum(np.searchsorted(hot, keys), max(0, len(hot) - 1))
+            is_hot = hot[at] == keys if len(hot) else np.zeros(len(keys), bool)
+            logs = np.where(is_hot, np.log10(hot_counts[at] + 1.0), 0) if len(hot) else is_hot * 0.0
+            text = found.text_of()
+            sums = np.bincount(text, logs, len(counts)).astype(float)  # of no words: integers
+            n_known = np.bincount(text, is_hot, len(counts)).astype(np.int64)
+            cuts = np.searchsorted(text[~is_hot], np.arange(len(counts) + 1))
+            rare = pa.LargeListArray.from_arrays(pa.array(cuts, pa.int64()), pa.array(keys[~is_hot]))
+            columns = {
+                "doc_id": batch.column("doc_id"),
+                "held_out": batch.column("held_out"),
+                "score": pa.array(score),
+                "rid": batch.column("rid"),
+                "n_tokens": pa.array(counts + 1),
+                "n_bytes": pa.array(n_bytes),
+                "hot_known": pa.array(n_known),
+                "hot_logs": pa.array(sums),
+                "rare": rare.cast(pa.list_(pa.int64())),
+            }
+            parts.append(pa.table(columns))
+        return pa.concat_tables(parts)
 
     return run
 
 
 _SCORED = (
-    "doc_id {kind}, held_out boolean, text string, score double, rid bigint, n_tokens bigint,"
+    "doc_id {kind}, held_out boolean, score double, rid bigint, n_tokens bigint,"
     " n_bytes bigint, hot_known bigint, hot_logs double, rare array<bigint>"
 )
 
@@ -324,24 +365,48 @@ def score_texts(
     docs = docs.select(
         F.col(id).alias("doc_id"), (fold == held_fold).alias("held_out"), F.col(text).alias("text")
     )
-    training = docs.where("not held_out").select("text")
-    counted = training.mapInArrow(_count(depth), "kind int, key bigint, n bigint")
-    counted = scratch.land(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.mapInArrow(
+        _chunks, f"doc_id {kind}, held_out boolean, text string, rid bigint, chunk bigint"
+    )
+    docs = scratch.land(docs, "texts", "zstd")
+    listed = docs.select("held_out", "text", "chunk").mapInArrow(
+        _count(depth), "kind int, chunk bigint, key bigint, n bigint"
+    )
+    listed = scratch.land(listed, "listed", "zstd")
+    counted = scratch.land(listed.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts", "zstd")
     words = counted.where(F.col("kind") == _WORD)
     grams = counted.where(F.col("kind") == _GRAM).select("key", "n")
 
-    nodes = grams.groupBy(F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF).alias("pair"))
-    nodes = scratch.land(nodes.applyInArrow(_build(depth), _NODE), "nodes")
-    top = nodes.where("depth = 2")
-    byte = F.shiftrightunsigned("key", 8).bitwiseAND(0xFF) * 256 + F.col("key").bitwiseAND(0xFF)
-    top = top.groupBy(byte.alias("key")).agg(  # at most 256 * 255 rows
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("weighted").alias("weighted")
+    context = F.shiftrightunsigned("key", 8)
+    pair, three = context.bitwiseAND(0xFFFF), context.bitwiseAND(0xFFFFFF)
+    large = grams.groupBy(pair.alias("pair")).agg(F.count("*").alias("n"))
+    large = large.where(F.col("n") * 8 * (depth - 1) > block_nodes) if depth > 2 else large.where("false")
+    is_large = pair.isin([r["pair"] for r in large.collect()])
+    grams = grams.select(
+        "key",
+        "n",
+        F.when(is_large, 3).otherwise(2).alias("root"),
+        F.when(is_large, three).otherwise(pair).alias("contexts"),
+    )
+    roots = grams.groupBy("root", "contexts").applyInArrow(_roots(depth), _ROOT)
+    roots = scratch.land(roots, "roots")
+    sums = [F.sum(c).alias(c) for c in ("n0", "n1", "weighted")]
+    byte = context.bitwiseAND(0xFF) * 256 + F.col("key").bitwiseAND(0xFF)
+    top = roots.where("depth = 2").groupBy(byte.alias("key")).agg(*sums)  # at most 256 * 255 rows
+    two = roots.where("depth = 3").groupBy(F.col("key").bitwiseAND(0xFFFFFF).alias("key")).agg(*sums)
+    top, two = (
+        [frame.sort_values("key")[c].to_numpy() for c in ("key", "n0", "n1", "weighted")]
+        for frame in (top.toPandas(), two.toPandas())  # of two: at most 255 rows a large group
     )
-    top = top.orderBy("key").toPandas()
     levels = {d: (np.zeros(0, np.int64), np.zeros(0), np.zeros(0)) for d in range(depth + 1)}
-    if len(top):
-        top = [top[c].to_numpy() for c in ("key", "n0", "n1", "weighted")]
-        for level, key, odds, one, *_ in _up(*top, 1, 0):
+    if len(two[0]):
+        _, key, odds, one, n0, n1, both = next(_up(*two, 2, 2))
+        levels[2] = (key, _weight(odds), one)
+        key = key & 0xFFFF
+        top = [np.concatenate(c) for c in zip(top, (key, n0, n1, both), strict=True)]
+    if len(top[0]):
+        for level, key, odds, one, *_ in _up(*_summed(*top), 1, 0):
             levels[level] = (key, _weight(odds), one)
 
     total = words.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
@@ -352,26 +417,17 @@ def score_texts(
     order = np.argsort(hot_keys)
     hot_keys, hot_counts = hot_keys[order], hot_counts[order]
 
-    blocks = max(1, -(-nodes.count() // block_nodes))
-    frame = docs.withColumn("score", F.lit(0.0))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    pair = F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF) % blocks
-    for block in range(blocks):
-        own = dict(levels)
-        held = nodes.where(pair == block)
-        held = held.select("depth", "key", F.col("own").cast("float"), F.col("one").cast("float")).toArrow()
-        depths, keys = held.column("depth").to_numpy(), held.column("key").to_numpy()
-        for level in range(2, depth + 1):
-            at = np.flatnonzero(depths == level)
-            at = at[np.argsort(keys[at])]
-            weight = _weight(held.column("own").to_numpy()[at])
-            own[level] = (keys[at], weight, held.column("one").to_numpy()[at])
-        known = grams.where(pair == block).select("key").toArrow().column("key").to_numpy()
-        value = (Tree(depth, own, block, blocks), known, hot_keys, hot_counts)
-        frame = frame.mapInArrow(
-            _score(spark.sparkContext.broadcast(value), depth), _SCORED.format(kind=kind)
-        )
-    scored = scratch.land(frame.drop("text"), "scored")
+    above = spark.sparkContext.broadcast(levels)
+    answers = grams.groupBy("root", "contexts").applyInArrow(
+        _answers(above, depth), "key bigint, answer double"
+    )
+    answers = scratch.land(answers, "answers")
+    strings = listed.where(F.col("kind") == _GRAM).select("chunk", "key")
+    strings = strings.join(answers, "key").groupBy("chunk")
+    frame = docs.groupBy("chunk").cogroup(strings).applyInArrow(
+        _score(spark.sparkContext.broadcast((hot_keys, hot_counts)), depth), _SCORED.format(kind=kind)
+    )
+    scored = scratch.land(frame, "scored")
 
     cold = words.where("false")
     if len(hot) == hot_words:  # what comes after the last of the broadcast ones

@@ -1,6 +1,7 @@
 """Each operator against a plain version, on nulls, empty and long texts, ties, repeated rows, empty
 tables and columns whose names clash with the operator's own."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -272,6 +273,43 @@ def test_context_tree_is_a_distribution_and_learns(docs, odd, nothing):
     assert context_tree.score_texts(nothing).count() == 0
 
 
+def test_context_tree_weighs_contexts_of_five_bytes(docs):
+    def steps(text):
+        data = b"\0" * 5 + " ".join(words(text)).encode() + b"\xff"
+        for i in range(5, len(data)):
+            for level in range(8):
+                node, bit = 1 << level | data[i] >> 8 - level, data[i] >> 7 - level & 1
+                yield [(data[i - d : i], node) for d in range(6)], bit
+
+    some = docs.where("doc_id <> 13 AND doc_id <> 14")
+    rows = context_tree.score_texts(some).collect()
+    counts, below = defaultdict(lambda: [0, 0]), defaultdict(float)
+    for r in rows:
+        for nodes, bit in steps(TEXTS[r.doc_id]) if not r.held_out else ():
+            for node in nodes:
+                counts[node][bit] += 1
+    weight = {}
+    for context, node in sorted(counts, key=lambda x: -len(x[0])):
+        n0, n1 = counts[context, node]
+        own = math.lgamma(n0 + 0.5) + math.lgamma(n1 + 0.5) - math.lgamma(n0 + n1 + 1) - math.log(math.pi)
+        children = below[context, node] if len(context) < 5 else -np.inf
+        weight[context, node] = np.exp(own - np.logaddexp(own, children))
+        both = own if len(context) == 5 else np.logaddexp(own, children) - np.log(2)
+        below[context[1:], node] += both if context else 0
+    for got in (rows, context_tree.score_texts(some, block_nodes=2000).collect()):
+        assert len(got) == len(TEXTS) - 2
+        for r in got:
+            expected = 0
+            for nodes, bit in steps(TEXTS[r.doc_id]):
+                p = 0.5
+                for node in reversed(nodes):
+                    if node in weight:
+                        n0, n1 = counts[node]
+                        p = weight[node] * (n1 + 0.5) / (n0 + n1 + 1) + (1 - weight[node]) * p
+                expected += np.log10(p if bit else 1 - p)
+            assert r.score == pytest.approx(expected)
+
+
 def test_forest_recall(spark):
     centres = RANDOM.standard_normal((20, 16)) * 3
     vectors = centres[RANDOM.integers(20, size=3000)] + RANDOM.standard_normal((3000, 16))

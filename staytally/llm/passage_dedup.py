@@ -10,9 +10,10 @@ occur. A string alone in its bucket holds nothing twice.
 Before the shuffle a task settles windows that repeat among its own documents, so a passage
 of a third of all documents sends a copy a task and not a copy a document.
 
-A window counts as earlier by (doc_id, start). Rows of one id are one document here: a window
-at the same id and start is not earlier, so repeated rows keep the same words. A null id
-precedes all others. A null or empty text has no words. Texts under ``WINDOW`` words stay
+A window counts as earlier by (doc_id, row, start), where row is the number that an input row is
+landed with: rows of one id, and rows without an id, are texts of their own, and which of them is
+the earlier follows the input's order. A null id precedes all others. A null or empty text has no
+words. Texts under ``WINDOW`` words stay
 whole. Empty tables give empty results. Other columns are not read.
 """
 
@@ -38,8 +39,8 @@ _FREQUENT_MOST = 20_000
 DICTIONARY_SAMPLE, _DICTIONARY_TEXT = 1000, 1 << 14
 _NO_ID = -(2**63)
 
-_TRAVEL = "mini bigint, doc_id bigint, start int, windows int, packed binary"
-_SPAN = "doc_id bigint, start int, stop int"
+_TRAVEL = "mini bigint, doc_id bigint, rid bigint, start int, windows int, packed binary"
+_SPAN = "rid bigint, start int, stop int"
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -71,13 +72,13 @@ def _runs(index: np.ndarray, *same: np.ndarray) -> np.ndarray:
     return np.r_[0, np.flatnonzero(new) + 1, len(index)]
 
 
-def _met_here(found: W.Words, hashes, window, at, doc, start, width) -> np.ndarray:
+def _met_here(found: W.Words, hashes, window, at, doc, rid, start, width) -> np.ndarray:
     """Windows with an earlier equal among the slice's own."""
-    order = np.lexsort((start, doc, window))
+    order = np.lexsort((start, rid, doc, window))
     key = window[order]
     head = np.r_[True, key[1:] != key[:-1]]
     first = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-    later = ~head & ((doc[order] != doc[first]) | (start[order] != start[first]))
+    later = ~head
     mine, other = order[later], first[later]
     step = np.arange(width)
     n = len(found)
@@ -117,18 +118,18 @@ def _travellers(fitted, width: int):
                 continue
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             text = found.text_of()[at]
-            doc, start = ids[text], at - found.first[text]
+            doc, rid, start = ids[text], batch.column("rid").to_numpy()[text], at - found.first[text]
             order = _order(hashes)
             if len(last):
                 near = np.minimum(np.searchsorted(last, order), len(last) - 1)
                 order = np.where(last[near] == order, order | np.uint64(1 << 62), order)
             mini = _sliding_min(order.astype(np.int64), width - GRAM + 1)[at]
-            met = _met_here(found, hashes, window, at, doc, start, width)
+            met = _met_here(found, hashes, window, at, doc, rid, start, width)
 
             own = np.flatnonzero(met)
             cuts = _runs(at[own], text[own])
             i, j = own[cuts[:-1]], own[cuts[1:] - 1]
-            yield _rows(W.mix(doc[i].astype(np.uint64)).astype(np.int64), doc[i], start[i],
+            yield _rows(W.mix(rid[i].astype(np.uint64)).astype(np.int64), doc[i], rid[i], start[i],
                         j - i + 1, [None] * len(i))
             own = np.flatnonzero(~met)
             cuts = _runs(at[own], text[own], mini[own])
@@ -136,33 +137,34 @@ def _travellers(fitted, width: int):
             low, high = found.starts[at[i]], found.ends[at[j] + width - 1]
             raw = found.data.tobytes()
             packed = [pack(raw[a:b]) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            yield _rows(mini[i], doc[i], start[i], j - i + 1, packed)
+            yield _rows(mini[i], doc[i], rid[i], start[i], j - i + 1, packed)
 
     return run
 
 
-def _rows(mini, doc, start, windows, packed) -> pa.RecordBatch:
+def _rows(mini, doc, rid, start, windows, packed) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(mini, pa.int64()),
             pa.array(doc, pa.int64()),
+            pa.array(rid, pa.int64()),
             pa.array(start.astype(np.int32)),
             pa.array(windows.astype(np.int32)),
             pa.array(packed, pa.binary()),
         ],
-        names=["mini", "doc_id", "start", "windows", "packed"],
+        names=["mini", "doc_id", "rid", "start", "windows", "packed"],
     )
 
 
 def _bucket(fitted, width: int):
-    """Rows come sorted by (mini, doc_id, start); a row without a string is settled already."""
+    """Rows come sorted by (mini, doc_id, rid, start); a row without a string is settled already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor(dict_data=_dictionary(fitted.value[1])).decompress
         current, seen = None, {}
         for batch in W.slices(batches, "packed"):
             mini = batch.column("mini").to_numpy()
-            docs, places = batch.column("doc_id").to_pylist(), batch.column("start").to_pylist()
+            docs, places = batch.column("rid").to_pylist(), batch.column("start").to_pylist()
             windows, packed = batch.column("windows").to_pylist(), batch.column("packed")
             spans = [
                 (docs[k], places[k], places[k] + windows[k] + width - 1)
@@ -197,7 +199,7 @@ def _bucket(fitted, width: int):
                 kinds = (pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)],
-                    names=["doc_id", "start", "stop"],
+                    names=["rid", "start", "stop"],
                 )
 
     return run
@@ -210,7 +212,7 @@ def _fitted(docs: DataFrame) -> tuple[np.ndarray, bytes]:
     if not total:
         return np.zeros(0, np.uint64), b""
     share = min(1.0, ORDER_SAMPLE / total)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    some = docs.where(F.pmod(F.xxhash64("rid"), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.slices(batches, "text"):
@@ -279,12 +281,13 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, start, stop) of words covered by windows that stand earlier; spans may overlap."""
+    """(rid, start, stop) of words covered by windows that stand earlier; spans may overlap. Takes
+    rows of (doc_id, rid, text), rid being unique."""
     fitted = docs.sparkSession.sparkContext.broadcast(_fitted(docs))
     return (
         docs.mapInArrow(_travellers(fitted, window), _TRAVEL)
         .repartition("mini")
-        .sortWithinPartitions("mini", "doc_id", "start")
+        .sortWithinPartitions("mini", "doc_id", "rid", "start")
         .mapInArrow(_bucket(fitted, window), _SPAN)
     )
 
@@ -295,16 +298,19 @@ def drop_repeated_passages(
     """Per row: doc_id, n_words, n_removed and the text of the kept words, one space between."""
     if window <= GRAM:
         raise ValueError(f"a window needs more than {GRAM} words")
+    scratch = Scratch(docs.sparkSession, "passages")
     docs = docs.select(
-        F.coalesce(F.col(id).cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.col(text).alias("text")
+        F.coalesce(F.col(id).cast("long"), F.lit(_NO_ID)).alias("doc_id"),
+        F.monotonically_increasing_id().alias("rid"),
+        F.col(text).alias("text"),
     )
-    scratch = Scratch(docs.sparkSession, "passages")
+    docs = scratch.land(docs, "texts", "zstd")
     spans = (
         scratch.land(repeated_spans(docs, window), "spans")
-        .groupBy("doc_id")
+        .groupBy("rid")
         .agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     )
-    out = docs.join(spans, "doc_id", "left").mapInArrow(
+    out = docs.join(spans, "rid", "left").mapInArrow(
         _kept, "doc_id bigint, n_words bigint, n_removed bigint, text string"
     )
     return out.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(_NO_ID)))

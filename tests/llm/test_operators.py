@@ -217,6 +217,22 @@ def test_passages_that_stand_earlier(docs, odd, nothing):
     assert passage_dedup.drop_repeated_passages(nothing).count() == 0
 
 
+def test_passages_of_rows_that_share_an_id(spark):
+    clean = [text_of(60) for _ in range(3)]
+    rows = [(None, PASSAGE), (None, f"{PASSAGE} {clean[0]}"), (None, clean[1]), (None, PASSAGE)]
+    rows += [(7, clean[2]), (7, clean[2]), (7, f"{clean[0]} {PASSAGE}"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 3):
+        got = passage_dedup.drop_repeated_passages(frame.coalesce(1).repartition(parts)).collect()
+        kept = Counter(w for r in got for w in SPACED.findall(r.text))
+        assert sum(r.n_words - r.n_removed for r in got) == sum(kept.values())
+        # one copy of each passage stays, wherever it is met first, and all the clean words
+        assert kept == Counter(w for t in (PASSAGE, *clean) for w in SPACED.findall(t))
+        assert sorted((r.doc_id or 0, r.n_words) for r in got) == sorted(
+            (i or 0, len(SPACED.findall(t or ""))) for i, t in rows
+        )
+
+
 def test_permutation_is_a_bijection():
     for n in (1, 2, 3, 17, 1000, 4097):
         permutation = tokens.Permutation(n, 9)

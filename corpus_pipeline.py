@@ -38,17 +38,25 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, in whole copies: 0, 1 or 2."""
-    mixed = mixing.mix_sources(docs).groupBy("doc_id", "source")
-    copies = mixed.agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("_copies"))
-    copies = copies.where("_copies > 0").select(
-        F.col("doc_id").alias("_doc"), F.col("source").alias("_source"), "_copies"
+    """Each row's text as often as the mix takes it: whole copies, and the runs of words that stand at
+    the ends of a shard's quota, cut out with the space between them. Rows without words take none."""
+    scratch = Scratch(spark, "mixture")
+    docs = scratch.land(docs.withColumn("_row", F.monotonically_increasing_id()), "rows", "zstd")
+    mixed = mixing.mix_sources(docs, keep=("_row", "pieces"))
+    pieces = mixed.select("_row", "size", F.explode("pieces").alias("_piece")).select(
+        "_row",
+        (F.col("_piece.stop") - F.col("_piece.start") < F.col("size")).alias("_cut"),
+        F.col("_piece.start").alias("_start"),
+        F.col("_piece.stop").alias("_stop"),
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("source").eqNullSafe(F.col("_source"))
-    repeated = docs.join(copies, same).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    )
-    return repeated.select(docs.columns)
+    taken = docs.join(pieces, "_row")
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    some = F.slice(words, (F.col("_start") + 1).cast("int"), (F.col("_stop") - F.col("_start")).cast("int"))
+    taken = taken.withColumn("text", F.when(F.col("_cut"), F.array_join(some, "")).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        taken = taken.withColumn("n_chars", F.when(F.col("_cut"), length).otherwise(F.col("n_chars")))
+    return taken.select([c for c in docs.columns if c != "_row"])
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

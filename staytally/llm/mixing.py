@@ -109,6 +109,21 @@ def _overlap(low: Column, high: Column) -> Column:
     return F.greatest(F.lit(0), F.least(F.col("begin") + F.col("size"), high) - begin)
 
 
+def _piece(low: Column, high: Column) -> Column:
+    begin = F.greatest(F.lit(0), low - F.col("begin")).cast("long")
+    return F.struct(
+        begin.alias("start"), (begin + _overlap(low, high)).cast("long").alias("stop")
+    )
+
+
+def _pieces() -> Column:
+    whole = F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
+    rest = F.array(_piece(F.col("low"), F.col("high")), _piece(F.lit(0), F.col("wrap")))
+    found = F.concat(F.array_repeat(whole, F.col("rounds").cast("int")), rest)
+    found = F.filter(found, lambda x: x.getField("stop") > x.getField("start"))
+    return F.when(F.col("rounds").isNotNull(), found).otherwise(F.array().cast("array<struct<start:bigint,stop:bigint>>"))
+
+
 def mix_sources(
     docs: DataFrame,
     *,
@@ -121,7 +136,12 @@ def mix_sources(
     seed: int = SEED,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target, taken, and the columns of ``keep``."""
+    """Per row: doc_id, source, size, source_size, target, taken, and the columns of ``keep``.
+
+    ``keep`` may name ``pieces``, which is made here: the runs of words (start, stop) that are taken,
+    one after another, ``taken`` words in all.
+    """
+    pieces, keep = "pieces" in keep, tuple(c for c in keep if c != "pieces")
     scratch = Scratch(docs.sparkSession, "mixing")
     sizes = scratch.land(
         docs.select(
@@ -180,6 +200,8 @@ def mix_sources(
         + _overlap(F.col("low"), F.col("high"))
         + _overlap(F.lit(0), F.col("wrap"))
     )
+    placed = placed.withColumn("pieces", _pieces()) if pieces else placed
+    keep += ("pieces",) if pieces else ()
     return placed.select(
         "doc_id",
         "source",

@@ -8,13 +8,16 @@ from staytally.llm import (
     context_tree,
     cotraining,
     decontaminate,
+    fill_middle,
     forest,
     line_dedup,
+    merkle,
     minhash,
     mixing,
     page_crf,
     passage_dedup,
     tokens,
+    warc,
 )
 
 
@@ -88,6 +91,40 @@ def op10_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_crf.extract(_table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proven = merkle.manifest(_table(spark, sf_dir, "documents"), tampered=merkle.every_third())
+    folded = proven.withColumn("folded_root", merkle.fold(F.col("checked"), "proof"))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest("proof").alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    found = warc.read_archives(warc.write_archives(pages), id_type=kind)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        _sha256(F.col("output")).alias("output_sha256"),
+        _sha256(fill_middle.restored("output", "form")).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_token_shards": op2_token_shards,
@@ -99,4 +136,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_passage_dedup": op9_passage_dedup,
     "op10_page_text": op10_page_text,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc_packages": op12_warc_packages,
+    "op13_fill_middle": op13_fill_middle,
 }

@@ -137,13 +137,15 @@ def scan(texts: pa.Array, inside: np.ndarray, lower: bool) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of some ``SLICE_BYTES`` of text, a longer text alone."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of some ``limit`` bytes of text, a longer text alone."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(False)
-        group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        group = np.cumsum(sizes, dtype=np.int64) // limit
         at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
         for i, j in zip(at, at[1:], strict=False):
             yield batch.slice(i, j - i)

@@ -49,6 +49,7 @@ class Limits:
     max_pages: int | None = None
     max_response_bytes: int | None = None
     max_cursor_chars: int | None = None
+    max_horizon_days: int | None = None
 
     def __post_init__(self) -> None:
         for field in fields(self):

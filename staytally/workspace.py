@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from staytally import fs
 
@@ -32,6 +32,17 @@ class Workspace:
         frame.write.mode("errorifexists").parquet(target)
         return self.spark.read.schema(frame.schema).parquet(target)
 
+    def land_counted(
+        self, frame: DataFrame, label: str, counts: dict[str, str]
+    ) -> tuple[DataFrame, dict]:
+        """Land, and gather aggregates of the same rows in the same pass.
+
+        The rows are counted by the tasks that write them, each once however often it is tried.
+        """
+        seen = Observation()
+        columns = [F.expr(text).alias(name) for name, text in counts.items()]
+        return self.land(frame.observe(seen, *columns), label), seen.get
+
     def close(self) -> None:
         fs.delete(self.spark, self.path)
 

@@ -6,12 +6,13 @@ from datetime import UTC, date, datetime, timedelta
 import pytest
 
 from samples import STAMP, START, batch, hotels, items, pages, row
-from staytally import SnapshotTable
+from staytally import SnapshotTable, fs
 from staytally.operators import coverage, dedup, history, merge, rules
-from staytally.plans.collect import land_pages, run_options
+from staytally.plans.collect import gate, land_batch, require_inventory, run_options
 from staytally.schema import KEY, Limits
 from staytally.sources import pages as P
 from staytally.sources.inventory import expected_rooms
+from staytally.workspace import Workspace
 
 
 def plan(frame):
@@ -70,25 +71,42 @@ def test_bodies_are_parsed_once_without_a_shuffle(spark):
     assert "Python" not in plan(read)
 
 
-def test_an_import_is_one_combining_shuffle(spark):
+def test_an_import_is_one_pass_of_two_combining_shuffles(spark):
+    """Records meet by cell, cells and inventory by room; the checks are counted on the way out."""
     landed = []
 
     class Captured(Exception):
         pass
 
     class Space:
-        def land(self, frame, _):
-            landed.append(frame)
+        def land_counted(self, frame, _, counts):
+            landed.append((frame, counts))
             raise Captured
 
     run = run_options(START, 3, STAMP)
     with pytest.raises(Captured):
-        land_pages(pages(spark, items()), run, Limits(), Space())
-    text = plan(landed[0])
+        land_batch(pages(spark, items()), hotels(spark), run, Limits(), Space())
+    frame, counts = landed[0]
+    text = plan(frame)
     assert text.count("parseJson") == 1
-    assert exchanges(landed[0]) == 1
-    assert text.count("HashAggregate") == 2 and "SortAggregate" not in text
-    assert "Python" not in text and "Join" not in text
+    assert exchanges(frame) == 2
+    assert "SortAggregate" not in text and "Python" not in text and "Join" not in text
+    assert set(counts) > {*rules.RULES, *P.PAGE_RULES, "conflict", "incomplete"}
+
+
+def test_pages_and_inventory_are_read_once(spark, tmp_path):
+    """Both sources change after the batch has been landed, and the checks do not notice."""
+    pages(spark, items()).write.parquet(str(tmp_path / "pages"))
+    hotels(spark).write.parquet(str(tmp_path / "hotels"))
+    sources = [spark.read.parquet(str(tmp_path / name)) for name in ("pages", "hotels")]
+    space = Workspace(spark)
+    landed = land_batch(*sources, run_options(START, 3, STAMP), Limits(), space)
+    for name in ("pages", "hotels"):
+        fs.delete(spark, str(tmp_path / name))
+    assert require_inventory(landed) == 3
+    assert set(gate(landed, Limits()).values()) == {0}
+    assert landed.cells.count() == 9
+    space.close()
 
 
 def test_chain_check_has_no_window_and_no_join(spark):

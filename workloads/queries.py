@@ -389,13 +389,14 @@ def coverage_by_hotel(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
     """Every check of a whole batch of defective pages, with its failures."""
-    rooms = event_rooms(spark, folder)
+    listed = event_rooms(spark, folder).groupBy("hotel_id")
+    hotels = listed.agg(F.collect_list("room_type_id").alias("room_type_ids"))
     limits = Limits(max_rows=5_000, max_items=70, max_pages=1)
     run = collect.run_options(START, HORIZON, STAMP)
-    space = Workspace(spark)
-    landed = space.land(_event_pages(spark, folder), "pages")
-    headers, cells = collect.land_pages(landed, run, limits, space)
-    return collect.gate(headers, cells, rooms, run, limits).select("check", "failures")
+    landed = collect.land_batch(_event_pages(spark, folder), hotels, run, limits, Workspace(spark))
+    return spark.createDataFrame(
+        list(collect.gate(landed, limits).items()), "check string, failures bigint"
+    )
 
 
 # --- repeated keys ---------------------------------------------------------------------

@@ -14,15 +14,17 @@ from staytally.workspace import Workspace
 
 
 def _in_ranges(
-    rows: DataFrame, group: str, order: list[str], workspace: Workspace
+    rows: DataFrame, group: list[str], order: list[str], workspace: Workspace
 ) -> DataFrame:
-    """Landed rows with their ascending ``_row`` number and ``_range``."""
-    # The range sampling is a pass of its own: it and the numbering read landed rows.
-    rows = workspace.land(rows, f"rows-{group}")
-    ranged = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
+    """Landed rows with their ascending ``_row`` number and ``_range``.
+
+    The one landing is written by the range shuffle itself; Spark samples the ranges from the same
+    rows. It is landed because a recomputed range could number equal rows differently.
+    """
+    keys = [*group, *order]
+    ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     numbered = ranged.withColumn("_row", F.monotonically_increasing_id())
-    # Landed, because a recomputed range could number equal rows differently.
-    return workspace.land(numbered, f"ranges-{group}").withColumn(
+    return workspace.land(numbered, f"ranges-{'-'.join(keys)}").withColumn(
         "_range", F.shiftright("_row", 33)
     )
 
@@ -50,8 +52,8 @@ def number_rows(
     rows: DataFrame, group: str, order: list[str], workspace: Workspace
 ) -> DataFrame:
     """Add each row's 0-based ``position`` within its group and the group's ``total``."""
-    ranges = _in_ranges(rows, group, order, workspace)
-    totals = workspace.land(_totals(ranges, group, F.lit(1).cast("bigint")), f"totals-{group}")
+    ranges = _in_ranges(rows, [group], order, workspace)
+    totals = _totals(ranges, group, F.lit(1).cast("bigint"))
     return (
         ranges.join(totals, [group, "_range"])
         .withColumn("position", F.col("_row") - F.col("_first") + F.col("_earlier"))
@@ -59,13 +61,31 @@ def number_rows(
     )
 
 
+def global_positions(rows: DataFrame, order: list[str], workspace: Workspace) -> DataFrame:
+    """Add each row's 0-based ``position`` in the order of the whole table.
+
+    A range's rows are numbered where they lie; what stands before a range is the prefix sum of
+    one count per range, so no task sees more than its own range.
+    """
+    ranges = _in_ranges(rows, [], order, workspace)
+    # One row per range: at most the number of shuffle partitions, whatever the table holds.
+    held = ranges.groupBy("_range").agg(F.count("*").alias("_held"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("_range", F.coalesce(F.sum("_held").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_row") - F.shiftleft("_range", 33)
+    return (
+        ranges.join(F.broadcast(starts), "_range")
+        .withColumn("position", F.col("_before") + inside)
+        .drop("_row", "_range", "_before")
+    )
+
+
 def weighted_ranks(
     values: DataFrame, group: str, value: str, weight: str, workspace: Workspace
 ) -> DataFrame:
     """Add ``first`` and ``last``, the 0-based ranks a value's copies take, and ``total``."""
-    ranges = _in_ranges(values, group, [value], workspace)
+    ranges = _in_ranges(values, [group], [value], workspace)
     totals = _totals(ranges, group, F.col(weight)).drop("_first")
-    totals = workspace.land(totals, f"totals-{group}")
     so_far = Window.partitionBy(group, "_range").orderBy("_row").rowsBetween(
         Window.unboundedPreceding, 0
     )

@@ -7,7 +7,8 @@ they and the ends of texts become separators, a run of them one.
 Phrases come to the driver in blocks of at most ``BLOCK_WORDS`` words, and the documents
 pass through one step a block, so a larger benchmark costs time and not memory.
 
-Nulls: a null text has no words, a null item no phrases, a null item_id is left out.
+Nulls: a null text has no words, a null item no phrases. Items without an id are searched like
+others and are one item without a name.
 Empty tables, repeated rows and repeated ids are no special case: every row is judged alone.
 Other columns are passed over (or, by ``remove_passages``, kept).
 """
@@ -119,7 +120,7 @@ def merged(first: np.ndarray, width: np.ndarray) -> np.ndarray:
 
 def _blocks(benchmark: DataFrame, item: str, text: str, window: int, block: int):
     """Phrases of the benchmark, some words' worth at a time."""
-    rows = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull())
+    rows = benchmark.where(F.col(text).isNotNull())
     rows = rows.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t"))
     held, size = [], 0
     for row in rows.toLocalIterator():
@@ -153,7 +154,7 @@ def _pass(phrases, text: str):
                     new = merged(both[:, 0], both[:, 1] - both[:, 0])
                 spans[d] = [{"start": int(a), "end": int(b)} for a, b in new]
                 names = {known.items[k] for k in np.unique(own[:, 2])}
-                items[d] = sorted(names.union(items[d]))
+                items[d] = sorted(names.union(items[d]), key=lambda name: (name is None, name or ""))
             columns = [
                 batch.column(f.name) if not f.name.startswith("_") else None for f in batch.schema
             ]

@@ -34,7 +34,6 @@ _CLOSED_BY_SAME = {
     "th": ("tr", "table"),
     "option": ("select",),
 }
-_DEEPEST = 400
 
 
 @dataclass
@@ -74,6 +73,7 @@ def blocks(html: str, known: dict | None = None) -> list[Block]:
     known = {} if known is None else known
     out: list[Block] = []
     stack = [_Open("", frozenset(), False, "")]
+    depths: dict[str, list[int]] = {}  # where each tag is open, so that no nesting is too deep to search
     texts: list[str] = []
     linked, links, position = 0, 0, 0
 
@@ -99,16 +99,17 @@ def blocks(html: str, known: dict | None = None) -> list[Block]:
         nonlocal links
         if any(o.tag not in INLINE for o in stack[depth:]):
             flush()
-        links -= sum(o.tag == "a" for o in stack[depth:])
+        for element in stack[depth:]:
+            links -= element.tag == "a"
+            depths[element.tag].pop()
         del stack[depth:]
 
+    def deepest(tags) -> int:
+        return max((depths[tag][-1] for tag in tags if depths.get(tag)), default=0)
+
     def nearest(tags, until) -> int:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in tags:
-                return depth
-            if stack[depth].tag in until:
-                return 0
-        return 0
+        depth = deepest(tags)
+        return depth if depth > deepest(until) else 0
 
     while match := _TOKEN.search(html, position):
         add(html[position : match.start()])
@@ -138,11 +139,11 @@ def blocks(html: str, known: dict | None = None) -> list[Block]:
             close(depth)
         own, hidden = _own_names(tag, attributes, known)
         top = stack[-1]
-        if len(stack) < _DEEPEST:
-            names = top.names if own <= top.names else top.names | own
-            unshown = top.unshown or hidden or tag in UNSHOWN
-            stack.append(_Open(tag, names, unshown, top.block if tag in INLINE else tag))
-            links += tag == "a"
+        names = top.names if own <= top.names else top.names | own
+        unshown = top.unshown or hidden or tag in UNSHOWN
+        depths.setdefault(tag, []).append(len(stack))
+        stack.append(_Open(tag, names, unshown, top.block if tag in INLINE else tag))
+        links += tag == "a"
         if tag in RAW:
             end = re.compile(f"</{tag}(?=[\\s/>])", re.IGNORECASE).search(html, position)
             position = end.start() if end else len(html)

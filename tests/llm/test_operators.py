@@ -106,9 +106,9 @@ def test_passages_of_a_benchmark(spark, docs, odd, nothing):
     bench = spark.createDataFrame(items, "item_id long, text string")
     windows = defaultdict(set)
     for item, text in items:
-        own = words(text, ALNUM) if item else []
+        own = words(text, ALNUM)
         for i in range(len(own) - min(10, len(own)) + 1 if own else 0):
-            windows[tuple(own[i : i + 10])].add(str(item))
+            windows[tuple(own[i : i + 10])].add(str(item) if item else None)
     for block in (4_000_000, 1):  # all phrases at once, and a block each
         got = decontaminate.find_passages(docs, bench, block_words=block).collect()
         assert len(got) == len(TEXTS)
@@ -119,7 +119,9 @@ def test_passages_of_a_benchmark(spark, docs, odd, nothing):
                     if names := windows.get(tuple(own[i : i + k])):
                         found |= names
                         hit.update(range(i, i + k))
-            assert (row.n_words, row.n_hit, sorted(row.item_ids)) == (len(own), len(hit), sorted(found))
+            named = sorted(found, key=lambda item: (item is None, item))
+            assert (row.n_words, row.n_hit, row.n_items) == (len(own), len(hit), len(found))
+            assert row.item_ids == named
     assert decontaminate.find_passages(odd, bench).count() == len(TEXTS) + 4
     assert decontaminate.find_passages(nothing, bench).count() == 0
     assert decontaminate.find_passages(docs, bench.limit(0)).where("n_hit > 0").count() == 0
@@ -130,6 +132,14 @@ def test_passages_of_a_benchmark(spark, docs, odd, nothing):
     ) < len(words(TEXTS[2], ALNUM))
 
 
+def test_markup_of_any_depth():
+    """What is hidden stays so, and what is open is closed, under any number of elements."""
+    inner = '<p hidden>gone</p><noscript>gone</noscript><ul><li>a<li>b</ul><p>one<p>two'
+    for depth in (1, 450, 20_000):
+        html = f"{'<div>' * depth}{inner}{'</div>' * depth}<p>after"
+        assert [block.text for block in markup.blocks(html)] == ["a", "b", "one", "two", "after"]
+
+
 def test_near_duplicates(docs, odd, nothing):
     sets = {}
     for i, text in enumerate(TEXTS):

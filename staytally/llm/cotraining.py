@@ -42,8 +42,10 @@ _CLASSES = (
     ("sign", lambda b: 0x21 <= b < 0x80 and not chr(b).isalnum() and b not in b".,;:?'-\""),
 )
 _KIND = np.array(
-    [next((k for k, (_, of) in enumerate(_CLASSES) if of(b)), len(_CLASSES)) for b in range(256)]
+    [next((k for k, (_, of) in enumerate(_CLASSES) if of(b)), len(_CLASSES)) for b in range(256)],
+    np.uint8,
 )
+_SLICE = 1 << 20
 LAYOUT = len(_CLASSES) + 3
 
 
@@ -69,7 +71,7 @@ def features(texts: pa.Array, sources: list, langs: list):
         kinds = _KIND[plain.data]
         size = (plain.ends - plain.starts).astype(float)
         for k in range(len(_CLASSES)):
-            layout[full, k] = np.add.reduceat((kinds == k).astype(np.int64), plain.starts) / size
+            layout[full, k] = np.add.reduceat(kinds == k, plain.starts, dtype=np.int64) / size
         n_words = np.maximum(found.counts()[full], 1)
         layout[full, -3] = np.log1p(size) / 10
         layout[full, -2] = np.log1p(size / n_words) / 3
@@ -203,7 +205,7 @@ def cotrain(bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in W.slices(batches, "text"):
+    for batch in W.slices(batches, "text", _SLICE):
         names = [batch.column(k).to_pylist() for k in ("source", "lang")]
         bins, first, named, layout = features(batch.column("text"), *names)
         yield pa.RecordBatch.from_arrays(
@@ -243,8 +245,13 @@ def train(
     some = told.join(ids.distinct(), "doc_id").orderBy(*by_hash).limit(labelled)
     rest = ids.distinct().join(told, "doc_id", "left_anti").orderBy(*by_hash).limit(pool)
     wanted = some.unionByName(rest.withColumn("label", F.lit(-1)))  # bounded by the two parameters
+    met = view.join(F.broadcast(wanted), "doc_id")
+    # Of a repeated id one row is enough, whichever text comes first; so the driver's rows are bounded.
+    one = met.groupBy("doc_id").agg(F.min(F.xxhash64("text", "source", "lang")).alias("_one"))
     rows = (
-        view.join(F.broadcast(wanted), "doc_id")
+        met.join(F.broadcast(one), "doc_id")
+        .where(F.xxhash64("text", "source", "lang") == F.col("_one"))
+        .dropDuplicates(["doc_id"])
         .mapInArrow(_extracted, "label int, bins array<int>, names array<int>, layout array<double>")
         .toArrow()
         .combine_chunks()
@@ -263,9 +270,10 @@ def train(
     return cotrain(bins[at], np.r_[0, np.cumsum(n)], names[order], layout[order], label[order], rounds)
 
 
-def score(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
-    """The documents with ``p_text``, ``p_page`` and ``p_good``."""
-    names = ["p_text", "p_page", "p_good"]
+def score(docs: DataFrame, classifier: Classifier | None, *, prefix: str = "") -> DataFrame:
+    """The documents with ``p_text``, ``p_page`` and ``p_good``, whose names begin with ``prefix``;
+    columns of the documents that have these names are refused."""
+    names = [prefix + name for name in ("p_text", "p_page", "p_good")]
     if clash := set(names) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are reserved here")
     if classifier is None:
@@ -276,7 +284,7 @@ def score(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
         schema = schema.add(n, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, "text"):
+        for batch in W.slices(batches, "text", _SLICE):
             n = batch.num_rows
             named = [
                 batch.column(k).cast(pa.string()).to_pylist() if k in batch.schema.names else [None] * n
@@ -289,6 +297,6 @@ def score(docs: DataFrame, classifier: Classifier | None) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def kept() -> Column:
+def kept(*, prefix: str = "") -> Column:
     """Whether a scored document stays."""
-    return F.coalesce(F.col("p_good") >= 0.5, F.lit(True))
+    return F.coalesce(F.col(f"{prefix}p_good") >= 0.5, F.lit(True))

@@ -48,6 +48,7 @@ _RANDOM = np.random.default_rng(7_919)
 _MULTIPLY = _RANDOM.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _RANDOM.integers(0, 2**63, ROWS * BANDS, dtype=np.uint64)
 _CACHED = 1 << 16
+_SLICE = 2 << 20
 
 _SKETCH = "doc_id bigint, n bigint, digest binary, signature binary"
 _SETS = "digest binary, shingles binary"
@@ -110,7 +111,7 @@ def _minima(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _sketch(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, "text"):
+        for batch in W.slices(batches, "text", _SLICE):
             found = W.scan(batch.column("text"), W.SPACED, True)
             shingles, first = _shingles(found, width)
             sizes = np.diff(first)
@@ -132,7 +133,7 @@ def _sketch(width: int):
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.slices(batches, "text"):
+        for batch in W.slices(batches, "text", _SLICE):
             found = W.scan(batch.column("text"), W.SPACED, True)
             shingles, first = _shingles(found, width)
             raw = shingles.tobytes()

@@ -3,27 +3,30 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from staytally import fs
+from staytally.workspace import shared_folder
 
 #: Spark's setting by which a finished query's shuffle files are deleted at once.
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session. Only a plain local session may go without."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="staytally-llm-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+_collecting: list[list] = []
+
+
+@contextmanager
+def collected(opened: list) -> Iterator[None]:
+    """Gather what is opened inside, for a caller who knows when it may go."""
+    _collecting.append(opened)
+    try:
+        yield
+    finally:
+        _collecting.pop()
 
 
 class Scratch:
@@ -31,14 +34,17 @@ class Scratch:
     that led to it are deleted once it stands.
 
     ``drop`` frees a table early; the folder goes when the driver's Python ends, because
-    results are lazy and may read it until then.
+    results are lazy and may read it until then, or when the caller closes it. The setting that
+    frees shuffles is the session's while a table is written: one run at a time per session.
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
         self.spark = spark
         self.path = f"{shared_folder(spark)}/llm-{label}-{uuid4().hex}"
         self._tables = 0
-        atexit.register(self._close)
+        atexit.register(self.close)
+        if _collecting:
+            _collecting[-1].append(self)
 
     def land(self, frame: DataFrame, label: str, compression: str = "snappy", **options) -> DataFrame:
         self._tables += 1
@@ -56,7 +62,9 @@ class Scratch:
     def drop(self, landed: DataFrame) -> None:
         fs.delete(self.spark, landed.llm_path)
 
-    def _close(self) -> None:
+    def close(self) -> None:
+        """Delete the folder; only for a caller who no longer reads any result of this run."""
+        atexit.unregister(self.close)
         context = self.spark.sparkContext
         if getattr(context, "_jsc", None) is not None:
             fs.delete(self.spark, self.path)

@@ -5,8 +5,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Row
 
 import corpus_pipeline
+from staytally import fs
 from staytally.llm import mixing
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -76,3 +78,36 @@ def test_whole_run_passes_rows_without_words_and_ids(spark, docs, rows, tmp_path
     assert left == {600: ["begin", "it", "end", "it"]}
     assert clean.where("doc_id IS NULL").count() == sum(i is None for i, *_ in rows)
     assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+CLASHES = ["_row", "_start", "_stop", "_cut", "_piece", "_words", "_spans", "_items", "p_text", "p_good", "size"]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES[:4])
+def test_stages_keep_columns_of_any_name(spark, docs, tmp_path, name, stage):
+    """Each row keeps what it holds in columns named like those of the operators."""
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    labels = [(i, i % 2, 0) for i in range(80)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    more = docs.selectExpr("*", *(f"concat('{c}', doc_id) AS {c}" for c in CLASHES))
+    plain, got = stage(spark, docs, folder).collect(), stage(spark, more, folder).collect()
+    assert sorted(map(str, plain)) == sorted(str(Row(**{c: r[c] for c in docs.columns})) for r in got)
+    assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for r in got for c in CLASHES)
+    assert set(got[0].asDict()) == {*docs.columns, *CLASHES}
+
+
+def test_a_stage_frees_what_the_one_before_it_left(spark, docs, tmp_path):
+    shared = corpus_pipeline.Scratch(spark, "probe").path.rsplit("/", 1)[0]
+    corpus_pipeline.mixture(spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    left = {scratch.path for scratch in corpus_pipeline._opened}
+    assert left and left <= {f"{shared}/{name}" for name in fs.names(spark, shared)}
+    corpus_pipeline.token_shards(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").count()
+    assert not left & {f"{shared}/{name}" for name in fs.names(spark, shared)}
+
+
+def test_mixture_agrees_with_itself_on_reruns(spark, docs):
+    def taken(frame):
+        return Counter((r.doc_id, r["size"], r.taken) for r in mixing.mix_sources(frame).collect())
+
+    assert taken(docs) == taken(docs) == taken(docs.repartition(7))

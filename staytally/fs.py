@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 
@@ -28,7 +30,30 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(target, True)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    store, old = _path(spark, source)
-    if not store.rename(old, _path(spark, target)[1]):
-        raise OSError(f"could not rename {source}")
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, or None without the file."""
+    store, target = _path(spark, path)
+    if not store.exists(target):
+        return None
+    stream = store.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in the place of another in one rename: readers see the old or the new."""
+    fresh = f"{path}.{uuid4().hex}"
+    store, source = _path(spark, fresh)
+    stream = store.create(source, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    kind = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.OVERWRITE
+    context = hadoop.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(store.makeQualified(source), store.makeQualified(hadoop.Path(path)), options)

@@ -187,6 +187,36 @@ _GATE = "\nUNION ALL ".join(
 
 _LINE_COUNTS = "SELECT l_suppkey AS h, count(*) AS n FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1"
 
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+_DEFECTS = {
+    "too_large": {1: 1},
+    "not_json": {2: 1},
+    "not_object": {3: 1},
+    "no_items": {4: 1},
+    "bad_items": {5: 1},
+    "bad_cursor": {6: 1},
+    "unrequested_hotel": {7: 1},
+    "no_pages": {8: 1},
+    "repeated_page": {9: 1},
+    "repeated_cursor": {10: 1},
+    "broken_chain": {11: 1},
+    "page_limit": {12: 1},
+    "record_limit": {13: 1},
+    "wrong_hotel": {14: 1},
+    "unknown_room": {14: 1},
+    "bad_date": {14: 1},
+    "out_of_range": {14: 1},
+    "not_integer": {14: 1},
+    "negative": {14: 1},
+    "conflict": {15: 1},
+    # Two cells are wanted of every requested hotel; these kinds bring none.
+    "incomplete": {kind: 2 for kind in (1, 2, 3, 4, 5, 6, 8, 14)},
+}
+
 ORACLES: dict[str, str] = {
     "paginate_table": f"""
         SELECT 'S' || h AS hotel_id, CAST(i + 1 AS INT) AS page_seq,
@@ -430,12 +460,77 @@ ORACLES: dict[str, str] = {
         )
     ),
     "schema_faults": " UNION ALL ".join(
-        f"SELECT '{source}' AS source, count(*) AS rows, CAST({faults} AS BIGINT) AS faults FROM {table}"
-        for source, table, faults in (
-            ("events", "events", 12),
-            ("orders", "orders", 12),
-            ("lineitem", "lineitem", 17),
-            ("observations", "events", 0),
-        )
+        [
+            f"SELECT '{table}' AS source, (SELECT count(*) FROM {table}) AS rows, "
+            f"6 + count(*) AS faults FROM (DESCRIBE {table})"
+            for table in TABLES
+        ]
+        + ["SELECT 'observations', count(*), CAST(0 AS BIGINT) FROM events"]
     ),
+    "written_table_faults": f"""
+        WITH day AS (SELECT CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS d FROM events)
+        SELECT 'extra' AS variant, d || ': unexpected column extra' AS fault FROM day
+        UNION ALL SELECT 'narrow', d || ': column available_rooms is int' FROM day
+        UNION ALL SELECT 'text', d || ': column observed_at is string' FROM day
+        UNION ALL SELECT DISTINCT 'monthly', 'not a daily partition: snapshot_date=' || strftime(ts, '%Y-%m')
+        FROM events""",
+    "partition_spec": """
+        SELECT 'snapshot_date' AS layout, 0 AS position, 'snapshot_date' AS key,
+               CAST(CAST(ts AS DATE) AS VARCHAR) AS value, NULL AS fault FROM events
+        UNION
+        SELECT 'room_type_id/snapshot_date', i, CASE i WHEN 0 THEN 'room_type_id' ELSE 'snapshot_date' END,
+               CASE i WHEN 0 THEN event_type ELSE CAST(CAST(ts AS DATE) AS VARCHAR) END,
+               'partitioned by [''room_type_id'', ''snapshot_date'']'
+        FROM events, (SELECT CAST(range AS INT) AS i FROM range(2))""",
+    "stored_asof_day": f"""
+        SELECT {_key()}, available_rooms, {_time("seen")} AS observed_at
+        FROM (SELECT * EXCLUDE (observed_at), observed_at AS seen FROM ({_latest(OBS)})
+              WHERE snapshot_date = (SELECT max(CAST(ts AS DATE)) FROM events
+                                     WHERE CAST(ts AS DATE) <= DATE '2024-01-25'))""",
+    "stored_history": f"""
+        SELECT hotel_id, room_type_id, CAST(stay AS VARCHAR) AS stay_date, days, most
+        FROM (SELECT hotel_id, room_type_id, stay_date AS stay, count(*) AS days,
+                     max(available_rooms) AS most
+              FROM ({_latest(OBS)}) WHERE snapshot_date BETWEEN DATE '2024-01-06' AND DATE '2024-01-25'
+              GROUP BY ALL)""",
+    "ordered_positions": f"""
+        SELECT {_key()}, available_rooms, {_time("observed_at")} AS observed_at, position
+        FROM (SELECT *, row_number() OVER (ORDER BY {KEY}, observed_at, available_rooms) - 1 AS position
+              FROM ({OBS})) o""",
+    "latest_with_ties": f"""
+        SELECT {_key()}, available_rooms, {_time("seen")} AS observed_at
+        FROM (SELECT {KEY}, max(available_rooms) AS available_rooms,
+                     CAST(snapshot_date AS TIMESTAMP) AS seen
+              FROM ({OBS}) GROUP BY {KEY})""",
+    "exported_lines": f"""
+        SELECT '{{"available_rooms":' || available_rooms || ',"hotel_id":"' || hotel_id
+               || '","observed_at":"' || {_time("observed_at")} || '","room_type_id":"' || room_type_id
+               || '","snapshot_date":"' || snapshot_date || '","stay_date":"' || stay_date || '"}}' AS line
+        FROM ({OBS})""",
+    "page_files": """
+        SELECT 'H' || u AS hotel_id, i + 1 AS page_seq,
+               CASE WHEN i > 0 THEN CAST(i * 50 AS VARCHAR) END AS request_cursor,
+               CASE WHEN u % 3 = 1 AND i = 1 THEN 'not_json' END AS page_rule,
+               CASE WHEN u % 3 = 1 AND i = 1 THEN 0 ELSE least(50, n - i * 50) END AS records
+        FROM (SELECT u, n, unnest(range((n + 49) // 50)) AS i
+              FROM (SELECT user_id AS u, count(*) AS n FROM events GROUP BY 1))""",
+    "inventory_file": f"SELECT hotel_id, room_type_id FROM ({SUPPLIER_ROOMS})",
+    "empty_batches": f"""
+        WITH held AS (SELECT count(*) AS n, count(DISTINCT snapshot_date) AS d FROM ({_latest(OBS)}))
+        SELECT CAST(1 AS BIGINT) AS step, 'empty' AS phase, 'unchanged' AS outcome,
+               CAST(0 AS BIGINT) AS days, CAST(0 AS BIGINT) AS rows
+        UNION ALL SELECT 2, 'published', 'changed', d, n FROM held
+        UNION ALL SELECT 3, 'empty', 'unchanged', 0, n FROM held""",
+    # Per check, what a hotel of each kind (suppkey modulo 16) adds to it.
+    "quality_gate_defects": "WITH kind AS (SELECT s_suppkey % 16 AS k FROM supplier)\n"
+    + "\nUNION ALL ".join(
+        f"SELECT '{check}' AS \"check\", CAST(coalesce(sum(CASE "
+        + "".join(f"WHEN k = {kind} THEN {n} " for kind, n in by_kind.items())
+        + "ELSE 0 END), 0) AS BIGINT) AS failures FROM kind"
+        for check, by_kind in _DEFECTS.items()
+    )
+    + """
+UNION ALL SELECT 'row_limit', CAST(greatest(coalesce(sum(CASE WHEN k IN (0, 10, 11, 12) THEN 2
+    WHEN k IN (9) THEN 4 WHEN k = 13 THEN 7 WHEN k = 14 THEN 6 WHEN k = 15 THEN 3 ELSE 0 END), 0) - 20, 0)
+    AS BIGINT) FROM kind""",
 }

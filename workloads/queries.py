@@ -602,10 +602,16 @@ def required_nulls(spark: SparkSession, folder: str) -> DataFrame:
     return preflight.null_counts(order_lines(spark, folder))
 
 
+TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+]
+
+
 @query
 def schema_faults(spark: SparkSession, folder: str) -> DataFrame:
     """Every driver table against the canonical schema; only the right one has no faults."""
-    tables = {name: read(spark, folder, name) for name in ("events", "orders", "lineitem")}
+    tables = {name: read(spark, folder, name) for name in TABLES}
     tables["observations"] = _instants(observations(spark, folder))
     found = [
         frame.groupBy(F.lit(name).alias("source"))
@@ -614,3 +620,198 @@ def schema_faults(spark: SparkSession, folder: str) -> DataFrame:
         for name, frame in tables.items()
     ]
     return history.union_snapshots(*found)
+
+
+# --- what is stored: faults, partitions, days, files --------------------------------------------
+
+
+@query
+def written_table_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables with one wrong day each, among right ones; the check names that day."""
+    rows = _instants(dedup.latest(observations(spark, folder)))
+    space = Workspace(spark)
+    first = rows.agg(F.min("snapshot_date")).first()[0]
+    wrong = F.col("snapshot_date") == scalars.day_literal(first)
+    variants = {
+        "right": None,
+        "extra": rows.withColumn("extra", F.lit(1)),
+        "narrow": rows.withColumn("available_rooms", F.col("available_rooms").cast("int")),
+        "text": rows.withColumn("observed_at", F.lit("noon")),
+        "monthly": rows.withColumn("snapshot_date", F.date_format("snapshot_date", "yyyy-MM")),
+    }
+    found = []
+    for name, variant in variants.items():
+        path = f"{space.path}/{name}"
+        if name == "monthly":
+            variant.write.partitionBy("snapshot_date").parquet(path)
+        else:
+            rows.write.partitionBy("snapshot_date").parquet(path)
+        if name not in ("right", "monthly"):
+            writer = variant.where(wrong).write.option("partitionOverwriteMode", "dynamic")
+            writer.mode("overwrite").partitionBy("snapshot_date").parquet(path)
+        table = SnapshotTable(spark, path)
+        found += [(name, fault) for fault in table.faults(table.days() if name != "monthly" else [])]
+    return spark.createDataFrame(found, "variant string, fault string")
+
+
+@query
+def partition_spec(spark: SparkSession, folder: str) -> DataFrame:
+    """Catalog partitions of a right and a wrong table, and what the check says of each."""
+    rows = _instants(dedup.latest(observations(spark, folder)))
+    made, found = [], []
+    try:
+        for layout in (["snapshot_date"], ["room_type_id", "snapshot_date"]):
+            name = f"spec_{Workspace(spark).run_id}"
+            made.append(name)
+            rows.write.partitionBy(*layout).format("parquet").saveAsTable(name)
+            faults = ", ".join(preflight.catalog_faults(spark, name)) or None
+            spec = preflight.catalog_partitions(spark, name)
+            found.append(
+                spec.select(
+                    F.lit("/".join(layout)).alias("layout"), "position", "key", "value",
+                    F.lit(faults).cast("string").alias("fault"),
+                ).distinct()
+            )
+        both = found[0].unionByName(found[1])
+        return Workspace(spark).land(both, "spec")
+    finally:
+        for name in made:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _stored(spark: SparkSession, folder: str) -> SnapshotTable:
+    table = SnapshotTable(spark, f"{Workspace(spark).path}/table")
+    table.write(_instants(dedup.latest(observations(spark, folder))))
+    return table
+
+
+@query
+def stored_asof_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest stored day not after the date asked for, from a written table."""
+    return ndjson.canonical_text(_stored(spark, folder).as_of(END))
+
+
+@query
+def stored_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per stay date seen over a range of stored days."""
+    days = history.history(_stored(spark, folder).read(), START, END)
+    seen = days.groupBy("hotel_id", "room_type_id", "stay_date").agg(
+        F.count("*").alias("days"), F.max("available_rooms").alias("most")
+    )
+    return as_text(seen)
+
+
+@query
+def ordered_positions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every observation with its place in the canonical order."""
+    return as_text(history.ordered_positions(observations(spark, folder), Workspace(spark)))
+
+
+@query
+def latest_with_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Observation times cut to the day, so that most keys have copies of one time."""
+    rows = observations(spark, folder)
+    return as_text(dedup.latest(rows.withColumn("observed_at", F.date_trunc("DAY", "observed_at").cast("timestamp_ntz"))))
+
+
+@query
+def exported_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The export of a first batch, replaced by that of all observations, read back."""
+    rows, path = observations(spark, folder), f"{Workspace(spark).path}/export"
+    ndjson.export_ndjson(morning(rows), path)
+    ndjson.export_ndjson(rows, path, replace=True)
+    return ndjson.read_ndjson(spark, path).withColumnRenamed("value", "line")
+
+
+@query
+def page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Bodies landed as raw files and read back; some second pages are not UTF-8."""
+    hotel = F.substr("hotel_id", F.lit(2)).cast("bigint")
+    broken = (hotel % 3 == 1) & (F.col("page_seq") == 2)
+    body = F.when(broken, F.concat("body", F.expr("CAST(unhex('FF') AS STRING)"))).otherwise(F.col("body"))
+    root = f"{Workspace(spark).path}/files"
+    pages.write_page_files(_event_pages(spark, folder).withColumn("body", body), root)
+    decoded = pages.decode_pages(pages.read_page_files(spark, root))
+    return decoded.select(
+        "hotel_id", "page_seq", "request_cursor", "page_rule",
+        F.size("items").cast("bigint").alias("records"),
+    )
+
+
+@query
+def inventory_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The supplier inventory as one configuration document, written and read back."""
+    path = f"{Workspace(spark).path}/hotels"
+    entries = F.sort_array(F.collect_list(F.struct("hotel_id", "room_type_ids"))).alias("hotels")
+    document = supplier_hotels(spark, folder).agg(entries).select(F.to_json(F.struct("hotels")))
+    document.write.text(path)
+    return inventory.expected_rooms(inventory.read_hotels(spark, path))
+
+
+@query
+def empty_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A batch without rows before and after a real one: nothing happens either time."""
+    rows = _instants(dedup.latest(observations(spark, folder)))
+    nothing = rows.where("available_rooms < 0 AND available_rooms > 0")
+    table, steps = SnapshotTable(spark, f"{Workspace(spark).path}/table"), []
+    for step, part in enumerate((nothing, rows, nothing), 1):
+        result = table.write(part)
+        held = table.read().count() if table.exists() else 0
+        steps.append((step, result.phase, result.outcome, result.days_published, held))
+    return spark.createDataFrame(
+        steps, "step bigint, phase string, outcome string, days bigint, rows bigint"
+    )
+
+
+_ROOMS_OF = ["single"]
+
+
+@query
+def quality_gate_defects(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixteen kinds of hotels, dealt over the suppliers; with all kinds every check fires."""
+    limits = Limits(max_rows=20, max_items=6, max_pages=3, max_response_bytes=5_000)
+    day, following = "2024-01-06", "2024-01-07"
+
+    def item(date: str = day, count: str = "4", room: str = "single", more: str = "") -> str:
+        return f'{{"room_type_id": "{room}", "date": "{date}", "available": {count}{more}}}'
+
+    def body(*items: str, cursor: str = "null") -> str:
+        return f'{{"items": [{", ".join(items)}], "next_cursor": {cursor}}}'
+
+    both = (item(), item(following, "0"))
+    kinds = {
+        0: [(1, None, body(*both))],
+        1: [(1, None, body(*both) + " " * 5_000)],
+        2: [(1, None, body(*both) + "]")],
+        3: [(1, None, "[]")],
+        4: [(1, None, '{"items": []}')],
+        5: [(1, None, body("7"))],
+        6: [(1, None, body(*both, cursor="false"))],
+        7: [(1, None, body())],
+        8: [],
+        9: [(1, None, body(*both)), (1, None, body(both[1], both[0]))],
+        10: [(1, None, body(both[0], cursor='"a"')), (2, "a", body(cursor='"a"')), (3, "a", body(both[1]))],
+        11: [(1, None, body(*both, cursor='"b"'))],
+        12: [(n, f"c{n}" if n > 1 else None, body(*both[n - 1 : n], cursor=f'"c{n + 1}"' if n < 4 else "null")) for n in range(1, 5)],
+        13: [(1, None, body(*both, *[both[0]] * 5))],
+        14: [(1, None, body(
+            item(more=', "hotel_id": "other"'), item(room="attic"), item("2024-01-6"),
+            item("2024-01-08"), item(count="4.0"), item(count="-1"),
+        ))],
+        15: [(1, None, body(*both, item(count="5")))],
+    }
+    rows = [(kind, *page) for kind, listed in kinds.items() for page in listed]
+    kind = (F.col("s_suppkey") % 16).cast("bigint")
+    suppliers = read(spark, folder, "supplier").select(
+        F.concat(F.lit("S"), "s_suppkey").alias("hotel_id"), kind.alias("kind")
+    )
+    forms = spark.createDataFrame(rows, "kind bigint, page_seq bigint, request_cursor string, body string")
+    landed = suppliers.join(F.broadcast(forms), "kind").drop("kind")
+    hotels = suppliers.where("kind <> 7").select(
+        "hotel_id", F.array(*map(F.lit, _ROOMS_OF)).alias("room_type_ids")
+    )
+    run = collect.run_options(START, 2, STAMP)
+    batch = collect.land_batch(landed, hotels, run, limits, Workspace(spark))
+    return spark.createDataFrame(
+        list(collect.gate(batch, limits).items()), "check string, failures bigint"
+    )

@@ -3,13 +3,19 @@
 A task turns its rows, ``SHARD`` at a time, into ``TREES`` sorted arrays of ``BITS``-bit strings
 (signs of projections of the centred vectors). A query descends every tree to its longest
 matching prefix, then all trees ascend together, a bit at a time, until the ranges under the
-prefixes hold ``CANDIDATES`` rows. The k-th of those rows' distances bounds the shard's answer: every
-other row whose distance, by one matrix product, is not surely above the bound is measured too. So
-the best of a shard are exact, and they meet in one ranking by query. ``CANDIDATES`` decides how
-many rows are measured one by one; no result depends on it, nor on how rows are split into shards.
+prefixes hold ``ENTRIES`` times as many entries as the shard has rows. A row's votes are the trees
+whose range holds it. The rows of most votes are measured, at least a share ``MEASURED`` of the
+shard (or ``LEAST`` rows a neighbour asked for, if more), with all that have as many votes as the last of
+them; then those of one vote less, and so on, until such a step brings nothing nearer than the k-th
+found. Only if the votes give fewer than k rows, the rest of the shard follows. So nothing is
+found but through the trees, no range or vote is capped, and equal vectors have equal votes.
 
-Queries come to the driver and go out in blocks of ``QUERY_BLOCK``, a pass over the rows each.
-The tests hold the results to brute force, on full shards too.
+The best of the shards meet in one ranking by query. The answer is approximate: on a full shard of 64
+normal components, the hardest case, recall is above 0.9 with less than a tenth of the rows measured (tested
+against brute force). Shards of up to ``LEAST`` * k rows are measured whole.
+
+Queries come to the driver ``QUERY_BYTES`` of vectors at a time and go out as one broadcast, a pass
+over the rows each, whose best are landed before the next.
 
 Rows without an id, and vectors that are null, zero, or hold null or non-finite components, take
 no part. A query's own row is every row of its id. Vectors of another length than the query's are
@@ -25,14 +31,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from staytally.llm.scratch import Scratch
+
 NEIGHBOURS, EVERY = 10, 100
-TREES, BITS, CANDIDATES = 16, 24, 8000
-SHARD, QUERY_BLOCK = 1 << 16, 4096
+TREES, BITS, ENTRIES = 128, 24, 8
+MEASURED, LEAST = 1 / 24, 64
+SHARD, QUERY_BYTES = 1 << 16, 1 << 25
 SEED = 11
-#: Queries whose products with a shard are held at once, and the share of the squared lengths by
-#: which a squared distance from products may be off (far above what rounding does).
-_PRODUCTS, _SLACK = 64, 1e-10
-
+#: Queries that ascend together in a task.
+_TOGETHER = 1024
 
 def _directions(size: int) -> np.ndarray:
     """Columns of random rotations, so that a tree's first bits are not alike."""
@@ -45,39 +52,25 @@ def _directions(size: int) -> np.ndarray:
     return np.concatenate(parts, 1)
 
 
-def _not_beyond(vectors: np.ndarray, queries: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
-    """For each query the rows that may be as near as its bound."""
-    with np.errstate(over="ignore", invalid="ignore"):  # of huge components; such rows stay in
-        centre = vectors.mean(0)
-        vectors, queries = vectors - centre, queries - centre
-        size, own = (vectors**2).sum(1), (queries**2).sum(1)
-        for at in range(0, len(queries), _PRODUCTS):
-            block = slice(at, at + _PRODUCTS)
-            beyond = queries[block] @ vectors.T
-            beyond *= -2
-            beyond += size * (1 - _SLACK)
-            limits = bounds[block] ** 2 * (1 + _SLACK) - own[block] * (1 - _SLACK)
-            for one, limit in zip(beyond, limits, strict=True):
-                yield np.flatnonzero(~(one > limit))
-
-
 class Forest:
     def __init__(self, vectors: np.ndarray) -> None:
         self.vectors = vectors
         self.centre = vectors.mean(0)
-        self.directions = _directions(vectors.shape[1])
+        self.directions = _directions(vectors.shape[1]).reshape(-1, TREES, BITS)
         strings = self.strings(vectors)
-        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.order = np.argsort(strings, axis=1, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order, 1)
 
     def strings(self, vectors: np.ndarray) -> np.ndarray:
-        bits = (vectors - self.centre) @ self.directions > 0
-        bits = bits.reshape(len(vectors), TREES, BITS)
-        return (bits @ (1 << np.arange(BITS)[::-1])).T.astype(np.int64)
-
-    def candidates(self, queries: np.ndarray, enough: int) -> Iterator[np.ndarray]:
-        """For each query the rows under the longest prefixes that hold enough of them."""
-        strings = self.strings(queries)
+        centred, weights = vectors - self.centre, 1 << np.arange(BITS)[::-1]
+        strings = np.empty((TREES, len(vectors)), np.int32)
+        for t in range(TREES):
+            strings[t] = (centred @ self.directions[:, t] > 0) @ weights
+        return strings
+
+    def votes(self, queries: np.ndarray, entries: float) -> Iterator[np.ndarray]:
+        """For each query every row's trees under the longest prefixes that hold enough entries."""
+        strings, rows = self.strings(queries), len(self.vectors)
         low = np.empty((TREES, len(queries)), np.int64)
         high, open_ = low.copy(), np.ones(len(queries), bool)
         for length in range(BITS, -1, -1):  # from the longest match up, all trees together
@@ -89,11 +82,39 @@ class Forest:
                 prefix = strings[t, own] >> rest
                 low[t, own] = np.searchsorted(self.sorted[t], prefix << rest)
                 high[t, own] = np.searchsorted(self.sorted[t], (prefix + 1) << rest)
-            open_[own] = (high[:, own] - low[:, own]).sum(0) < enough
+            open_[own] = (high[:, own] - low[:, own]).sum(0) < entries * rows
         for q in range(len(queries)):
-            yield np.unique(
-                np.concatenate([self.order[t, low[t, q] : high[t, q]] for t in range(TREES)])
-            )
+            under = [self.order[t, low[t, q] : high[t, q]] for t in range(TREES)]
+            yield np.bincount(np.concatenate(under), minlength=rows)
+
+    def nearest(self, query: np.ndarray, votes: np.ndarray, k: int, measured: float):
+        """(rows, distances) of the k nearest that the votes lead to, ties with the last included.
+        Rows of negative votes take no part."""
+        votes = votes + 1  # from 1 on; 0 for those that take no part
+        with_most = np.cumsum(np.bincount(votes, minlength=2)[:0:-1])[::-1]  # rows of 1, 2, ... votes
+        need = min(with_most[0], max(LEAST * k, int(np.ceil(measured * len(votes)))))
+        least = int(np.flatnonzero(with_most >= need)[-1]) + 1
+        rows = np.flatnonzero(votes >= least)
+        distance = self._distance(rows, query)
+        while least > 1:
+            far = np.partition(distance, k - 1)[k - 1] if len(rows) >= k else np.inf
+            least -= 1
+            more = np.flatnonzero(votes == least)
+            if not len(more) and len(rows) >= k:
+                continue
+            if least == 1 and len(rows) >= k:  # no tree led there
+                break
+            its = self._distance(more, query)
+            rows, distance = np.r_[rows, more], np.r_[distance, its]
+            if len(rows) >= k and not (its <= far).any():
+                break
+        if len(rows) > k:
+            near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
+            rows, distance = rows[near], distance[near]
+        return rows, distance
+
+    def _distance(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return np.sqrt(((self.vectors[rows] - query) ** 2).sum(1))
 
 
 def _matrix(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -105,33 +126,29 @@ def _matrix(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, flat.reshape(len(rows), size).astype(np.float64)
 
 
-def _search(held, k: int, enough: int):
+def _search(held, k: int, entries: float, measured: float):
     def best(ids: list[np.ndarray], vectors: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         ids_, vectors_ = np.concatenate(ids), np.concatenate(vectors)
         query_row, query_id, queries = held.value.get(vectors_.shape[1], (None, None, None))
         if query_row is None:
             return
-        out: list[tuple[np.ndarray, ...]] = []
-        bounds = np.full(len(queries), np.inf)
-        for at, rows in enumerate(Forest(vectors_).candidates(queries, enough)):
-            rows = rows[ids_[rows] != query_id[at]]
-            if len(rows) >= k:
-                distance = np.sqrt(((vectors_[rows] - queries[at]) ** 2).sum(1))
-                bounds[at] = np.partition(distance, k - 1)[k - 1]
-        found = _not_beyond(vectors_, queries, bounds)
-        for row, own, query, rows in zip(query_row, query_id, queries, found, strict=True):
-            rows = rows[ids_[rows] != own]
-            distance = np.sqrt(((vectors_[rows] - query) ** 2).sum(1))
-            if len(rows) > k:
-                near = np.flatnonzero(distance <= np.partition(distance, k - 1)[k - 1])
-                rows, distance = rows[near], distance[near]
-            first = np.lexsort((ids_[rows], distance))[:k]
-            n = len(first)
-            out.append((np.full(n, row), np.full(n, own), ids_[rows[first]], distance[first]))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in columns], names=["query_row", "query_id", "vec_id", "score"]
-        )
+        by_id = np.argsort(ids_, kind="stable")
+        sorted_ids, forest = ids_[by_id], Forest(vectors_)
+        for at in range(0, len(queries), _TOGETHER):
+            block = slice(at, at + _TOGETHER)
+            out: list[tuple[np.ndarray, ...]] = []
+            found = forest.votes(queries[block], entries)
+            for row, own, query, votes in zip(query_row[block], query_id[block], queries[block], found, strict=True):
+                low, high = (np.searchsorted(sorted_ids, own, side) for side in ("left", "right"))
+                votes[by_id[low:high]] = -1
+                rows, distance = forest.nearest(query, votes, k, measured)
+                first = np.lexsort((ids_[rows], distance))[:k]
+                n = len(first)
+                out.append((np.full(n, row), np.full(n, own), ids_[rows[first]], distance[first]))
+            columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in columns], names=["query_row", "query_id", "vec_id", "score"]
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: dict[int, list] = {}
@@ -160,9 +177,11 @@ def nearest(
     vector: str = "embedding",
     k: int = NEIGHBOURS,
     every: int = EVERY,
-    candidates: int = CANDIDATES,
+    entries: float = ENTRIES,
+    measured: float = MEASURED,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
-    """The k nearest rows for each row whose id is divisible by ``every``."""
+    """The k nearest rows found for each row whose id is divisible by ``every``."""
     rows = vectors.select(
         F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector")
     ).where(
@@ -170,35 +189,34 @@ def nearest(
         & F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
-    spark, found, held, seen = vectors.sparkSession, [], [], 0
+    spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession, "forest")
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "vec_id"))
 
-    def passed() -> None:
+    def passed(held: list[tuple[int, int, np.ndarray]]) -> DataFrame:
         by_size: dict[int, list] = {}
-        for at, row in enumerate(held, seen):
-            by_size.setdefault(len(row.vector), []).append((at, row.vec_id, row.vector))
-        block = {
-            size: tuple(np.array(c) for c in zip(*own, strict=True)) for size, own in by_size.items()
-        }
-        found.append(
-            rows.mapInArrow(
-                _search(spark.sparkContext.broadcast(block), k, candidates),
-                "query_row bigint, query_id bigint, vec_id bigint, score double",
-            )
+        for query in held:
+            by_size.setdefault(len(query[2]), []).append(query)
+        sent = spark.sparkContext.broadcast(
+            {size: tuple(np.array(c) for c in zip(*own, strict=True)) for size, own in by_size.items()}
+        )
+        found = rows.mapInArrow(
+            _search(sent, k, entries, measured),
+            "query_row bigint, query_id bigint, vec_id bigint, score double",
         )
+        best = found.withColumn("rank", rank).where(F.col("rank") <= k)
+        landed = scratch.land(best.select("query_id", "rank", "vec_id", "score"), "nearest")
+        sent.destroy()
+        return landed
 
+    held, size, blocks, seen = [], 0, [], 0
     for row in rows.where(F.col("vec_id") % every == 0).toLocalIterator():
-        held.append(row)
-        if len(held) == QUERY_BLOCK:
-            passed()
-            seen, held = seen + len(held), []
-    if held or not found:
-        passed()
-    every_block = found[0]
-    for more in found[1:]:
-        every_block = every_block.unionByName(more)
-    rank = F.row_number().over(Window.partitionBy("query_row").orderBy("score", "vec_id"))
-    return (
-        every_block.withColumn("rank", rank)
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+        held.append((seen, row.vec_id, np.array(row.vector)))
+        size, seen = size + held[-1][2].nbytes, seen + 1
+        if size >= query_bytes:
+            blocks.append(passed(held))
+            held, size = [], 0
+    if held or not blocks:
+        blocks.append(passed(held))
+    if len(blocks) == 1:
+        return blocks[0]
+    return spark.read.schema(blocks[0].schema).parquet(*[block.llm_path for block in blocks])

@@ -344,7 +344,7 @@ def test_forest_recall(spark):
     rows += [(100_000 + 100 * k, v, 1) for k, v in enumerate(bad)] + [(None, vectors[0].tolist(), 1)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int").repartition(3)
     got = defaultdict(dict)
-    for r in forest.nearest(frame, candidates=300).collect():
+    for r in forest.nearest(frame).collect():
         got[r.query_id][r.rank] = (r.vec_id, r.score)
     hits = 0
     for q in range(0, 3000, 100):
@@ -359,22 +359,68 @@ def test_forest_recall(spark):
     assert forest.nearest(frame.limit(0)).count() == 0
 
 
-def test_forest_is_exact_on_a_full_shard(spark):
+def test_forest_finds_through_its_trees():
+    """On a full shard of normal components at default parameters, against brute force."""
+    n, k = forest.SHARD, forest.NEIGHBOURS
+    vectors = np.random.default_rng(5).standard_normal((n, 64))
+    trees, hits, measured, real = forest.Forest(vectors), 0, 0, forest.Forest._distance
+    queries = np.arange(0, n, 1000)
+
+    def counted(self, rows, query):
+        nonlocal measured
+        measured += len(rows)
+        return real(self, rows, query)
+
+    forest.Forest._distance = counted
+    try:
+        found = trees.votes(vectors[queries], forest.ENTRIES)
+        for q, votes in zip(queries, found, strict=True):
+            votes[q] = -1
+            rows, distance = trees.nearest(vectors[q], votes, k, forest.MEASURED)
+            every = np.sqrt(((vectors - vectors[q]) ** 2).sum(1))
+            every[q] = np.inf
+            assert distance == pytest.approx(every[rows])
+            hits += len(set(np.argsort(every)[:k].tolist()) & set(rows.tolist()))
+    finally:
+        forest.Forest._distance = real
+    assert hits >= 0.9 * k * len(queries)
+    assert measured <= 0.1 * n * len(queries)
+
+
+def test_forest_on_full_shards(spark):
     n = forest.SHARD
     vectors = RANDOM.standard_normal((n, 64)).astype(np.float32).astype(float)
     columns = [pa.array(np.arange(n)), pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), 64)]
     columns[1] = columns[1].cast(pa.list_(pa.float64()))
     frame = spark.createDataFrame(pa.table(columns, names=["vec_id", "embedding"]))
-    whole = forest.nearest(frame.coalesce(1), every=4000).collect()
-    got = defaultdict(dict)
-    for r in whole:
-        got[r.query_id][r.rank] = r.vec_id
-    assert sorted(got) == list(range(0, n, 4000))
-    for q, found in got.items():
-        distance = ((vectors - vectors[q]) ** 2).sum(1)
-        distance[q] = np.inf
-        assert [found[rank] for rank in range(1, 11)] == np.argsort(distance)[:10].tolist()
-    assert sorted(whole) == sorted(forest.nearest(frame.repartition(5), every=4000).collect())
+    for parts in (frame.coalesce(1), frame.repartition(5)):
+        got = defaultdict(dict)
+        for r in forest.nearest(parts, every=4000, query_bytes=4096).collect():  # several blocks
+            got[r.query_id][r.rank] = r.vec_id
+        assert sorted(got) == list(range(0, n, 4000))
+        hits = 0
+        for q, found in got.items():
+            distance = ((vectors - vectors[q]) ** 2).sum(1)
+            distance[q] = np.inf
+            assert sorted(found) == list(range(1, 11))
+            assert [distance[v] for _, v in sorted(found.items())] == sorted(distance[list(found.values())])
+            hits += len(set(np.argsort(distance)[:10].tolist()) & set(found.values()))
+        assert hits >= 0.9 * 10 * len(got)
+
+
+def test_forest_orders_ties_by_id(spark):
+    """Thousands of equal vectors, repeated rows of an id, and fewer candidates than asked for."""
+    same, other = [1.0, 2.0, 3.0], [1.0, 2.0, 4.0]
+    rows = [(i, same) for i in range(3000, 0, -1)] + [(0, other), (50, other), (7, same), (7, other)]
+    rows += [(9900, [5.0, 1.0]), (9901, [4.0, 1.0]), (9902, None)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = defaultdict(list)
+    for r in forest.nearest(frame).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    nearest = [1, 2, 3, 4, 5, 6, 7, 7, 8, 9]
+    assert got[100] == [(i + 1, v, 0.0) for i, v in enumerate(nearest)]
+    assert [v for _, v, _ in got[0]] == [7, 50, 1, 2, 3, 4, 5, 6, 7, 7] and got[0][0][2] == 0.0
+    assert got[9900] == [(1, 9901, 1.0)]
 
 
 def test_quality_classifier(spark):

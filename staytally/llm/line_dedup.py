@@ -1,19 +1,23 @@
 """Operator 8: lines that many documents hold stay only in the last of them.
 
-Built-in expressions only. A key's documents are counted on pairs (hash, document), so a line
-that a third of all documents hold is spread by document and pre-aggregated before it meets
-on its hash. Hashes are 128 bits wide.
+Built-in expressions only. Rows are landed with a row number; the keys' hashes (128 bits wide) are
+exploded with their positions and landed too. A key's documents are counted on pairs (hash,
+document), so a line that a third of all documents hold is spread by document and pre-aggregated
+before it meets on its hash. The positions that go come back by row number, and the rest of a text
+is put together by position: linear in a document's lines, whatever holds how many of them.
 
 Nulls: a null text is one empty line and comes back as an empty text. A null id is no
 document in the counts and never the largest; its lines follow the others' verdict. Rows of
-one id are one document in the counts, and each comes back. Empty tables give empty results.
-Other columns are not read.
+one id are one document in the counts, and each comes back; they never meet in one group, however many
+they are. Empty tables give empty results. Other columns are not read.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from staytally.llm.scratch import Scratch
+
 MIN_CHARS = 20
 MIN_DOCS = 3
 _SPACE = " \t\n\x0b\x0c\r"
@@ -51,34 +55,35 @@ def drop_repeated_lines(
     min_docs: int = MIN_DOCS,
 ) -> DataFrame:
     """Per row: doc_id, n_lines, n_dropped and the text of the kept lines."""
-    docs = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    hashed = F.transform(_lines(F.col("text")), lambda line: _hash(line, min_chars))
-    pairs = (
-        docs.select("doc_id", F.explode(F.array_distinct(F.array_compact(hashed))).alias("key"))
-        .groupBy("key", "doc_id")
-        .agg(F.lit(True).alias("held"))
+    scratch = Scratch(docs.sparkSession, "lines")
+    docs = docs.select(
+        F.col(id).alias("doc_id"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("rid")
     )
+    docs = scratch.land(docs, "texts", "zstd")
+    hashed = F.transform(_lines(F.col("text")), lambda line: _hash(line, min_chars))
+    lines = docs.select("rid", "doc_id", F.posexplode(hashed).alias("pos", "key")).where("key IS NOT NULL")
+    lines = scratch.land(lines, "lines")
     keys = (
-        pairs.groupBy("key")
+        lines.select("key", "doc_id")
+        .distinct()
+        .groupBy("key")
         .agg(F.count("doc_id").alias("docs"), F.max("doc_id").alias("last"))
         .where(F.col("docs") >= min_docs)
         .select("key", "last")
     )
     drops = (
-        pairs.join(keys, "key")
+        lines.join(keys, "key")
         .where(~F.col("doc_id").eqNullSafe(F.col("last")))
-        .groupBy(F.col("doc_id").alias("drop_id"))
-        .agg(F.collect_list("key").alias("gone"))
-    )
-    joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left")
-    lines = _lines(F.col("text"))
-    stays = F.filter(
-        lines, lambda line: ~F.coalesce(F.array_contains("gone", _hash(line, min_chars)), F.lit(False))
+        .groupBy("rid")
+        .agg(F.collect_list("pos").alias("gone"))
     )
-    kept = F.when(F.col("gone").isNull(), lines).otherwise(stays)
-    return joined.withColumn("kept", kept).select(
+    joined = docs.join(drops, "rid", "left").withColumn("lines", _lines(F.col("text")))
+    places = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.transform(places, lambda at: F.get("lines", at))
+    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept)
+    return joined.select(
         "doc_id",
-        F.size(lines).cast("long").alias("n_lines"),
-        (F.size(lines) - F.size("kept")).cast("long").alias("n_dropped"),
-        F.array_join("kept", "\n").alias("text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.array_join(kept, "\n").alias("text"),
     )

@@ -9,11 +9,14 @@ shards. Its documents stand in a seeded order and are cut into blocks; its quota
 block as often as it goes round, and the rest as a run of blocks from a seeded one.
 
 A shard's last block is shorter, so a source misses its target by a block or less a shard.
-Reruns agree, whatever the partitions.
+Documents are dealt and ordered by their ids alone, so reruns agree, whatever the partitions. Only an
+id (or null) that over ``SHARED`` rows have says too little to deal by: its rows are dealt by the number
+that they are landed with, and spread over their source's shards. The same number orders rows of one id
+and size. There reruns agree on the same input files.
 
 Nulls: a null source is a source, a null id a document, a null text has no words. Documents
-without words take none. Repeated rows are documents of their own; which of two equal rows is
-cut is not told apart. Empty tables give empty results. Other columns are not read.
+without words take none. Repeated rows are documents of their own. Empty tables give empty results.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from staytally.llm.scratch import Scratch
 
 WEIGHTS = (5, 2, 1)
 SHARE, LIMIT = 1.5, 2
-BLOCK, SHARD_WORDS, SHARD_DOCS = 16, 1 << 20, 1 << 16
+BLOCK, SHARD_WORDS, SHARD_DOCS, SHARED = 16, 1 << 20, 1 << 16, 1 << 10
 SEED = 42
 
 
@@ -124,6 +127,19 @@ def _pieces() -> Column:
     return F.when(F.col("rounds").isNotNull(), found).otherwise(F.array().cast("array<struct<start:bigint,stop:bigint>>"))
 
 
+def deal(sizes: DataFrame, sources: DataFrame, seed: int, shared: int, scratch: Scratch) -> DataFrame:
+    """Rows with the shard of their source, and their place along it. Ids of many rows are counted after
+    a map-side combine; there are at most rows / ``shared`` of them."""
+    often = sizes.groupBy(F.col("doc_id").alias("_often")).agg(F.count("*").alias("_n"))
+    often = scratch.land(often.where(F.col("_n") > shared), "often")
+    by_id = F.xxhash64(F.lit(seed), "doc_id")
+    place = F.when(F.col("_n").isNull(), by_id).otherwise(F.xxhash64(F.lit(seed), "doc_id", "rid"))
+    dealt = sizes.join(often, F.col("doc_id").eqNullSafe(F.col("_often")), "left").withColumn("place", place)
+    return dealt.drop("_often", "_n").join(
+        sources, F.col("source").eqNullSafe(F.col("_source"))
+    ).withColumn("shard", F.pmod(F.xxhash64("place"), F.col("shards")))
+
+
 def mix_sources(
     docs: DataFrame,
     *,
@@ -134,6 +150,7 @@ def mix_sources(
     share: float = SHARE,
     block: int = BLOCK,
     seed: int = SEED,
+    shared: int = SHARED,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Per row: doc_id, source, size, source_size, target, taken, and the columns of ``keep``.
@@ -145,7 +162,11 @@ def mix_sources(
     scratch = Scratch(docs.sparkSession, "mixing")
     sizes = scratch.land(
         docs.select(
-            F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *keep
+            F.col(id).alias("doc_id"),
+            F.col(source).alias("source"),
+            word_count(F.col(text)).alias("size"),
+            F.monotonically_increasing_id().alias("rid"),
+            *keep,
         ),
         "sizes",
     )
@@ -162,10 +183,7 @@ def mix_sources(
     sources = apportion(sources, [], ["source"], "target", "seats")
     sources = scratch.land(sources.drop("seats"), "sources").withColumnRenamed("source", "_source")
 
-    place = F.xxhash64(F.lit(seed), "doc_id")
-    dealt = sizes.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumns(
-        {"place": place, "shard": F.pmod(F.xxhash64(place), F.col("shards"))}
-    )
+    dealt = deal(sizes, sources, seed, shared, scratch)
     shards = dealt.groupBy("source", "shard").agg(
         F.sum("size").alias("words"), F.first("quota").alias("seats")
     )
@@ -187,7 +205,7 @@ def mix_sources(
             ),
         }
     )
-    along = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size")
+    along = Window.partitionBy("source", "shard").orderBy("place", "doc_id", "size", "rid")
     along = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumn("begin", F.sum("size").over(along) - F.col("size"))
     placed = placed.join(

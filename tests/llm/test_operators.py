@@ -3,6 +3,7 @@ tables and columns whose names clash with the operator's own."""
 
 import math
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -173,11 +174,69 @@ def test_mixture(docs, odd, nothing):
         target[r.source] = r.target
     assert sum(target.values()) == pytest.approx(1.5 * sum(size.values()))
     assert all(abs(taken[s] - target[s]) <= mixing.BLOCK * 2 for s in size)
-    assert sorted(rows) == sorted(mixing.mix_sources(docs.repartition(3)).collect()) or None in size
+    again = mixing.mix_sources(docs.repartition(3)).collect()
+    assert {r.doc_id: r for r in again} == {r.doc_id: r for r in rows}
+    for seed in (1, 2):
+        moved = {r.doc_id: r.taken for r in mixing.mix_sources(docs, seed=seed).collect()}
+        if moved != {r.doc_id: r.taken for r in rows}:
+            break
+    else:
+        raise AssertionError("the seed has no say")
     assert mixing.mix_sources(odd).count() == len(TEXTS) + 4
     assert mixing.mix_sources(nothing).count() == 0
 
 
+def _plain_targets(size, share, limit):
+    """Water filling, a full source at a time."""
+    names = sorted((n for n in size if n is not None), key=lambda n: n.encode("utf-32-be"))
+    names += [None] * (None in size)
+    weight = {n: (5, 2, 1)[i % 3] for i, n in enumerate(names)}
+    target, left, open_ = {}, share * sum(size.values()), set(names)
+    while open_:
+        level = left / sum(weight[n] for n in open_)
+        full = {n for n in open_ if level * weight[n] > limit * size[n]}
+        target |= {n: limit * size[n] if n in full else level * weight[n] for n in full or open_}
+        left -= sum(limit * size[n] for n in full)
+        open_ = open_ - full if full else set()
+    return target
+
+
+def test_targets_are_those_of_water_filling(spark):
+    cases = [
+        {"a": 10, "b": 4000, "c": 300, "d": 2, "e": 9000, None: 700},
+        {"a": 1, "\uffff": 50, "\U00010000": 60, "Z": 7, "": 90},
+        {None: 12},
+        {"x": 0, "y": 5, "z": 0},
+    ]
+    for size in cases:
+        rows = [(n, w) for n, words_ in size.items() for w in (words_ // 3, words_ - words_ // 3)]
+        sizes = spark.createDataFrame(rows, "source string, size long")
+        got = {r.source: r for r in mixing.source_targets(sizes).collect()}
+        plain = _plain_targets(size, 1.5, 2)
+        assert {n: r.source_size for n, r in got.items()} == size
+        assert {n: r.target for n, r in got.items()} == pytest.approx(plain)
+
+
+def test_mixture_spreads_rows_that_share_an_id(spark, tmp_path):
+    rows = [(None, text_of(5 + i % 7), "hot") for i in range(600)]
+    rows += [(7, "the same text", "hot")] * 600 + [(i, text_of(6), "hot") for i in range(100, 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix_sources(docs, shared=50).collect()
+    size, taken = sum(r["size"] for r in out), sum(r.taken for r in out)
+    assert len(out) == len(rows) and abs(taken - 1.5 * size) <= 2 * mixing.BLOCK
+    assert all(0 <= r.taken <= 2 * r["size"] for r in out)
+    sizes = docs.selectExpr("doc_id", "source", "4L AS size", "monotonically_increasing_id() AS rid")
+    sources = spark.createDataFrame([("hot", 30)], "_source string, shards long")
+    scratch = mixing.Scratch(spark, "test")
+    dealt = mixing.deal(sizes, sources, 1, 50, scratch)
+    shards = [r["count"] for r in dealt.groupBy("shard").count().collect()]
+    assert len(shards) == 30 and max(shards) < 3 * min(shards)
+    by_id = dealt.where("doc_id >= 100").select("doc_id", "shard")
+    moved = mixing.deal(sizes.repartition(5), sources, 1, 50, scratch).where("doc_id >= 100")
+    assert sorted(by_id.collect()) == sorted(moved.select("doc_id", "shard").collect())
+    scratch.close()
+
+
 def test_seats_are_those_of_the_highest_quotients(spark):
     for seats, votes in ((17, [53, 24, 23]), (5, [10, 10, 10]), (40, [1000, 1, 1, 90]), (3, [0, 7])):
         rows = [(k, float(v), seats) for k, v in enumerate(votes)]
@@ -205,10 +264,38 @@ def test_lines(docs, odd, nothing):
         assert (row.n_lines, row.n_dropped, row.text) == (len(lines), len(lines) - len(kept), "\n".join(kept))
     assert line_dedup.drop_repeated_lines(odd).count() == len(TEXTS) + 4
     assert line_dedup.drop_repeated_lines(nothing).count() == 0
+    empty = docs.where("doc_id IN (4, 5, 6)")
+    assert {(r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_repeated_lines(empty).collect()} == {
+        (1, 0, ""), (2, 0, " \n\t ")
+    }
     plan = line_dedup.drop_repeated_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    """A third of the rows has no id, and one id stands on many rows: each row is judged alone."""
+    own = [f"a line of row number {i} and no other" for i in range(300)]
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"{LINE}\n{own[i]}\n {LINE} \nx") for i in range(300)]
+    rows += [(5, f"{own[4]}\n{own[4]}"), (None, None), (None, own[0])]
+    got = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    last = max(i for i, _ in rows if i is not None)
+    plain = Counter(
+        (i, t.count("\n") + 1, 0, t) if i == last or LINE not in t else (i, 4, 2, f"{own[k]}\nx")
+        for k, (i, t) in enumerate((i, t or "") for i, t in rows)
+    )
+    assert Counter(map(tuple, got)) == plain
+
+
+def test_lines_take_time_in_proportion(spark):
+    """Three equal documents of many lines, all of which go from two."""
+    text = "\n".join(f"line number {i} of a very long text" for i in range(60_000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    begin = time.monotonic()
+    got = line_dedup.drop_repeated_lines(docs).selectExpr("doc_id", "n_dropped", "text = '' AS bare").collect()
+    assert sorted(map(tuple, got)) == [(0, 60_000, True), (1, 60_000, True), (2, 0, False)]
+    assert time.monotonic() - begin < 60  # comparing every pair of lines took minutes
+
+
 def test_passages_that_stand_earlier(docs, odd, nothing):
     seen = set()
     expected = {}

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructField, StructType
 
 from staytally.llm import words as W
 from staytally.llm.fm_index import FMIndex
+from staytally.llm.scratch import Scratch
 
 WINDOW = 10
 BLOCK_WORDS = 4_000_000
@@ -177,15 +178,21 @@ def _searched(docs, benchmark, text, item, item_text, window, block_words) -> Da
         }
     )
     schema = StructType([StructField(f.name, f.dataType) for f in frame.schema])
-    blocks = 0
-    for phrases in _blocks(benchmark, item, item_text, window, block_words):
-        held = docs.sparkSession.sparkContext.broadcast(phrases)
+    spark, scratch, landed = docs.sparkSession, None, None
+    blocks = _blocks(benchmark, item, item_text, window, block_words)
+    phrases = next(blocks, None) or Phrases([], window)
+    while True:
+        held = spark.sparkContext.broadcast(phrases)
         frame = frame.mapInArrow(_pass(held, text), schema)
-        blocks += 1
-    if not blocks:
-        held = docs.sparkSession.sparkContext.broadcast(Phrases([], window))
-        frame = frame.mapInArrow(_pass(held, text), schema)
-    return frame
+        phrases = next(blocks, None)
+        if phrases is None:
+            return frame
+        scratch = scratch or Scratch(spark, "decontaminate")
+        stands = scratch.land(frame, "searched", "zstd")
+        held.destroy()
+        if landed is not None:
+            scratch.drop(landed)
+        frame = landed = stands
 
 
 def _private(docs: DataFrame) -> None:

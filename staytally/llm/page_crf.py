@@ -228,62 +228,73 @@ class Field:
         return out[::-1]
 
 
-def train(pages: list[tuple[list[Block], list[bool]]], steps: int = STEPS) -> Field:
-    """Adagrad on the log likelihood; expectations by forward and backward sums."""
-    index: dict[str, int] = {}
-    chains = []
-    for found, truth in pages:
-        page = _page_names(found)
-        rows = [[index.setdefault(n, len(index)) for n in _features(b, page)] for b in found]
-        if rows:
-            chains.append((rows, np.array(truth, int)))
-    width = max(len(rows) for rows, _ in chains)
-    # All chains side by side: place by place, the sums of every chain move on together.
-    inside = np.zeros((len(chains), width), bool)
-    truth = np.zeros((len(chains), width), int)
-    flat, owner = [], []
-    for c, (rows, labels) in enumerate(chains):
-        inside[c, : len(rows)] = True
-        truth[c, : len(rows)] = labels
-        for place, row in enumerate(rows):
-            flat += row
-            owner += [c * width + place] * len(row)
-    flat, owner = np.array(flat), np.array(owner)
-    pair = inside[:, 1:]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (truth[:, :-1][pair], truth[:, 1:][pair]), 1)
-    first = np.bincount(truth[:, 0], minlength=2)
-
-    weights, follow, start = np.zeros(len(index)), np.zeros((2, 2)), np.zeros(2)
-    squares = [np.full(w.shape, 1e-6) for w in (weights, follow, start)]
-    n = inside.sum()
-    for _ in range(steps):
-        own = np.bincount(owner, weights[flat], inside.size).reshape(inside.shape)
+class Chains:
+    """Labelled pages side by side: place by place, the sums of every chain move on together."""
+
+    def __init__(self, pages: list[tuple[list[Block], list[bool]]]) -> None:
+        self.index: dict[str, int] = {}
+        chains = []
+        for found, truth in pages:
+            page = _page_names(found)
+            rows = [[self.index.setdefault(n, len(self.index)) for n in _features(b, page)] for b in found]
+            if rows:
+                chains.append((rows, np.array(truth, int)))
+        self.width = max(len(rows) for rows, _ in chains)
+        self.inside = np.zeros((len(chains), self.width), bool)
+        self.truth = np.zeros((len(chains), self.width), int)
+        flat, owner = [], []
+        for c, (rows, labels) in enumerate(chains):
+            self.inside[c, : len(rows)] = True
+            self.truth[c, : len(rows)] = labels
+            for place, row in enumerate(rows):
+                flat += row
+                owner += [c * self.width + place] * len(row)
+        self.flat, self.owner = np.array(flat), np.array(owner)
+        self.pair = self.inside[:, 1:]
+        self.seen = np.zeros((2, 2))
+        np.add.at(self.seen, (self.truth[:, :-1][self.pair], self.truth[:, 1:][self.pair]), 1)
+        self.first = np.bincount(self.truth[:, 0], minlength=2)
+        self.blocks = self.inside.sum()
+
+    def slopes(self, weights: np.ndarray, follow: np.ndarray, start: np.ndarray):
+        """Of the log likelihood a block, by forward and backward sums."""
+        inside, n = self.inside, self.blocks
+        own = np.bincount(self.owner, weights[self.flat], inside.size).reshape(inside.shape)
         score = np.stack([np.zeros_like(own), own], 2)
         forward, backward = np.zeros_like(score), np.zeros_like(score)
         forward[:, 0] = score[:, 0] + start
-        for k in range(1, width):
+        for k in range(1, self.width):
             step = np.logaddexp.reduce(forward[:, k - 1, :, None] + follow, axis=1) + score[:, k]
             forward[:, k] = np.where(inside[:, k, None], step, forward[:, k - 1])
         total = np.logaddexp.reduce(forward[:, -1], axis=1)
-        for k in range(width - 2, -1, -1):
+        for k in range(self.width - 2, -1, -1):
             after = score[:, k + 1] + backward[:, k + 1]
             step = np.logaddexp.reduce(follow + after[:, None, :], axis=2)
             backward[:, k] = np.where(inside[:, k + 1, None], step, 0)
-        marginal = np.exp(forward + backward - total[:, None, None])[..., 1]
+        marginal = np.exp(forward + backward - total[:, None, None])
         joint = (
             forward[:, :-1, :, None] + follow + (score + backward)[:, 1:, None, :]
         ) - total[:, None, None, None]
-        slopes = (
-            np.bincount(flat, np.where(inside, truth - marginal, 0).ravel()[owner], len(index)) / n,
-            (seen - np.exp(joint[pair]).sum(0)) / n,
-            (first - np.exp(forward + backward - total[:, None, None])[:, 0].sum(0)) / n,
+        miss = np.where(inside, self.truth - marginal[..., 1], 0).ravel()[self.owner]
+        return (
+            np.bincount(self.flat, miss, len(self.index)) / n,
+            (self.seen - np.exp(joint[self.pair]).sum(0)) / n,
+            (self.first - marginal[:, 0].sum(0)) / n,
         )
+
+
+def train(pages: list[tuple[list[Block], list[bool]]], steps: int = STEPS) -> Field:
+    """Adagrad on the log likelihood."""
+    chains = Chains(pages)
+    weights, follow, start = np.zeros(len(chains.index)), np.zeros((2, 2)), np.zeros(2)
+    squares = [np.full(w.shape, 1e-6) for w in (weights, follow, start)]
+    for _ in range(steps):
+        slopes = chains.slopes(weights, follow, start)
         for w, g, s, decay in zip((weights, follow, start), slopes, squares, (1e-5, 0, 0), strict=True):
             g = g - decay * w
             s += g * g
             w += 0.3 * g / np.sqrt(s)
-    return Field({name: float(weights[i]) for name, i in index.items()}, start, follow)
+    return Field({name: float(weights[i]) for name, i in chains.index.items()}, start, follow)
 
 
 def main_text(html: str | None, field: Field, known: dict, cache: dict) -> str:

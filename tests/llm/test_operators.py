@@ -1,6 +1,7 @@
 """Each operator against a plain version, on nulls, empty and long texts, ties, repeated rows, empty
 tables and columns whose names clash with the operator's own."""
 
+import itertools
 import math
 import re
 import time
@@ -529,6 +530,118 @@ def test_quality_classifier(spark):
     assert cotraining.score(docs.limit(0), classifier).count() == 0
 
 
+def _short_pages():
+    """Pages of some blocks, none with the element that names an article."""
+    bodies = [
+        "<nav><a href=#>Home</a></nav><div class=story><h1>T</h1><p>One line of text, long enough.<p>Two, too.</div>",
+        "<table><tr><td>Left<td><p>Main words stand here. They go on.</p></table><div id=footer>Legal</div>",
+        "<p>a</p><ul class='menu'><li>x<li>y</ul><blockquote>Said so, once.</blockquote><form><label>Mail</label></form>",
+        "<div>only</div>",
+    ]
+    found = [markup.blocks(body) for body in bodies]
+    assert all(1 <= len(page) <= 6 for page in found) and not any("<article" in body for body in bodies)
+    return [(page, [bool((i + k) % 3) for k in range(len(page))]) for i, page in enumerate(found)]
+
+
+def _score(field, found, labels):
+    page, own = page_crf._page_names(found), 0.0
+    for block, label in zip(found, labels, strict=True):
+        own += label * sum(field.weights.get(n, 0.0) for n in page_crf._features(block, page))
+    own += field.start[int(labels[0])]
+    return own + sum(field.follow[int(a)][int(b)] for a, b in itertools.pairwise(labels))
+
+
+def _labellings(found):
+    return itertools.product((False, True), repeat=len(found))
+
+
+def test_field_decodes_the_best_of_all_labellings():
+    pages = _short_pages()
+    names = page_crf.Chains(pages).index
+    for _ in range(40):
+        weights = dict(zip(names, RANDOM.standard_normal(len(names)), strict=True))
+        field = page_crf.Field(weights, RANDOM.standard_normal(2), 2 * RANDOM.standard_normal((2, 2)))
+        for found, _ in pages:
+            best = max(_score(field, found, y) for y in _labellings(found))  # like blocks may tie
+            assert _score(field, found, field.decode(found)) == pytest.approx(best)
+
+
+def test_field_slopes_are_those_of_the_likelihood():
+    pages = _short_pages()
+    chains = page_crf.Chains(pages)
+    start, follow = RANDOM.standard_normal(2), RANDOM.standard_normal((2, 2))
+    weights = RANDOM.standard_normal(len(chains.index))
+
+    def likelihood(vector):
+        own, rest = vector[: len(weights)], vector[len(weights) :]
+        field = page_crf.Field(dict(zip(chains.index, own, strict=True)), rest[4:], rest[:4].reshape(2, 2))
+        total = 0.0
+        for found, truth in pages:
+            every = [_score(field, found, y) for y in _labellings(found)]
+            total += _score(field, found, truth) - np.logaddexp.reduce(every)
+        return total / sum(len(found) for found, _ in pages)
+
+    at = np.r_[weights, follow.ravel(), start]
+    slopes = np.concatenate([g.ravel() for g in chains.slopes(weights, follow, start)])
+    for i in range(len(at)):
+        step = np.zeros(len(at))
+        step[i] = 1e-5
+        numeric = (likelihood(at + step) - likelihood(at - step)) / 2e-5
+        assert slopes[i] == pytest.approx(numeric, abs=1e-8)
+
+
+def test_views_teach_each_other_as_a_plain_version_does():
+    """One round, with dense arrays, sorted lists and sets."""
+    texts = [text_of(25) if i % 3 else f"{text_of(12).upper()} zz qq" for i in range(90)]
+    truth = np.array([float(i % 3 > 0) for i in range(90)])
+    labels = np.where(np.arange(90) < 36, truth, -1.0)
+    sources = [f"s{i % 2 + 2 * (i % 3 == 0)}" for i in range(90)]
+    bins, first, names, layout = cotraining.features(pa.array(texts), sources, ["en"] * 90)
+    got = cotraining.cotrain(bins, first, names, layout, labels, rounds=1)
+
+    used = sorted(set(bins.tolist()))
+    words_ = np.zeros((90, len(used) + 1))
+    words_[:, -1] = 1
+    for d in range(90):
+        own = set(bins[first[d] : first[d + 1]].tolist())
+        for b in own:
+            words_[d, used.index(b)] = 1 / math.sqrt(len(own))
+    page = np.zeros((90, cotraining.NAME_BINS))
+    for d in range(90):
+        for name in names[d]:
+            page[d, name] += 1
+    page = np.concatenate([page, layout, np.sqrt(layout), np.ones((90, 1))], 1)
+
+    def fitted(x, known, steps, decay):
+        rows = sorted(known)
+        x, y = x[rows], np.array([known[r] for r in rows])
+        weight, seen = np.zeros(x.shape[1]), np.full(x.shape[1], 1e-8)
+        for _ in range(steps):
+            slope = x.T @ (1 / (1 + np.exp(-(x @ weight))) - y) / len(rows) + decay * weight
+            seen += slope**2
+            weight -= 0.5 * slope / np.sqrt(seen)
+        return weight
+
+    aside = {r for kind in (0, 1) for r in [d for d in range(36) if truth[d] == kind][::4]}
+    start = {d: truth[d] for d in range(36) if d not in aside}
+    share, pool = sum(start.values()) / len(start), range(36, 90)
+    by_text = words_ @ fitted(words_, start, 60, 1e-6)
+    by_page = page @ fitted(page, start, 400, 1e-5)
+
+    def told(odds):
+        ranked, pick = sorted(pool, key=lambda d: odds[d]), max(2, int(cotraining.PER_ROUND * len(pool)))
+        chosen = ranked[-max(1, int(pick * share)) :] + ranked[: max(1, int(pick * (1 - share)))]
+        return start | {d: float(odds[d] > 0) for d in chosen if abs(odds[d]) > 2}
+
+    learnt = told(by_page), told(by_text)
+    assert len(learnt[0]) > len(start) or len(learnt[1]) > len(start)
+    assert got.text.odds(bins, first) == pytest.approx(words_ @ fitted(words_, learnt[0], 60, 1e-6), abs=1e-6)
+    assert got.page.odds(names, layout) == pytest.approx(page @ fitted(page, learnt[1], 400, 1e-5), abs=1e-6)
+    p_text, p_page, p_good = got.score(bins, first, names, layout)
+    odds = [np.log(p / (1 - p)) for p in (p_text, p_page, p_good)]
+    assert odds[2] == pytest.approx((odds[0] + odds[1]) / 2, abs=1e-6)
+
+
 def test_page_text(spark):
     field = page_crf.train(page_crf.labelled_pages(150))
     held = page_crf.labelled_pages(60, seed=77)

@@ -10,9 +10,16 @@ scores every document.
 Training takes at most ``LABELLED`` labelled documents and a pool of ``POOL``, those with the least
 hash of their id. Scoring covers all documents whole, in one pass without a shuffle.
 
-A document is good if its label says quality 1; other labels are not read. Nulls: a null text has no
-words and an empty layout, a null source or language is a value of its own, labels with a null id or quality are left out. Repeated labels count once, a bad one first.
-Without labelled documents of both kinds the probabilities are null and all documents stay.
+A document is good if its label says quality 1, and toxic if its label says toxic 1; two classifiers
+of the same sample judge the two, and a document stays if it is good and not toxic. Toxic documents
+are few and some words give them away, so that classifier's text view scales each word by how
+unevenly the two kinds hold it, its views are sure of a clean document only clearly below the base
+rate, and their log odds add up over the base rate instead of being averaged.
+
+Nulls: a null text has no words and an empty layout, a null source or language is a value of its
+own, labels with a null id are left out, a null quality or toxic label judges the other thing only.
+Repeated labels count once, a bad or toxic one first. Without labelled documents of both kinds the
+probabilities are null and reject nothing; the labels may lack the toxic column.
 Repeated rows are scored each, empty tables give empty results.
 """
 
@@ -30,6 +37,7 @@ from staytally.llm import words as W
 
 LABELLED, POOL = 6000, 6000
 ROUNDS, PER_ROUND = 4, 0.05
+RARE_STEPS = 200
 WORD_BINS, NAME_BINS = 1 << 18, 512
 _ASIDE = 0.25
 _CLASSES = (
@@ -115,21 +123,36 @@ def _ascend(size: int, gradient, steps: int, decay: float) -> np.ndarray:
     return weight
 
 
-def _fit_text(bins, first, rows, labels) -> TextView:
+def _unevenness(own, row, labels, size: int) -> np.ndarray:
+    """By how much the log of the share of documents with a word differs between the two kinds."""
+    shares = [
+        (np.bincount(own[labels[row] == kind], minlength=size) + 1) / ((labels == kind).sum() + 2)
+        for kind in (0, 1)
+    ]
+    return np.abs(np.log(shares[1] / shares[0]))
+
+
+def _fit_text(bins, first, rows, labels, rare: bool = False) -> TextView:
     n = np.diff(first)[rows]
     value = 1 / np.sqrt(np.maximum(n, 1))
     at = np.repeat(first[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    own, row = bins[at], np.repeat(np.arange(len(rows)), n)
+    used, own = np.unique(bins[at], return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), n)
     own_value = value[row]
+    scale = _unevenness(own, row, labels, len(used)) if rare else np.ones(len(used))
+    own_value = own_value * scale[own]
 
     def gradient(weight):
         odds = np.bincount(row, weight[own] * own_value, len(rows)) + weight[-1]
         miss = (_probability(odds) - labels) / len(rows)
-        out = np.bincount(own, miss[row] * own_value, WORD_BINS + 1)
+        out = np.bincount(own, miss[row] * own_value, len(used) + 1)
         out[-1] = miss.sum()
         return out
 
-    return TextView(_ascend(WORD_BINS + 1, gradient, 60, 1e-6))
+    found = _ascend(len(used) + 1, gradient, RARE_STEPS if rare else 60, 1e-6)
+    weight = np.zeros(WORD_BINS + 1)
+    weight[used], weight[-1] = found[:-1] * scale, found[-1]
+    return TextView(weight)
 
 
 def _fit_page(names, layout, rows, labels) -> PageView:
@@ -159,15 +182,34 @@ class Classifier:
     page: PageView
     text_scale: tuple[float, float]
     page_scale: tuple[float, float]
+    base: float | None = None
 
     def score(self, bins, first, names, layout):
         a = self.text.odds(bins, first) * self.text_scale[0] + self.text_scale[1]
         b = self.page.odds(names, layout) * self.page_scale[0] + self.page_scale[1]
-        return _probability(a), _probability(b), _probability((a + b) / 2)
+        both = (a + b) / 2 if self.base is None else a + b - self.base
+        return _probability(a), _probability(b), _probability(both)
+
+
+@dataclass
+class Judges:
+    """What tells good documents from bad ones, and what tells toxic ones from others."""
+
+    good: Classifier | None
+    toxic: Classifier | None
 
+    def score(self, bins, first, names, layout) -> list:
+        """Probabilities of the text view, of the page view and of both, and that of being toxic."""
+        given = bins, first, names, layout
+        good = self.good.score(*given) if self.good else [None] * 3
+        return [*good, self.toxic.score(*given)[2] if self.toxic else None]
 
-def cotrain(bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS) -> Classifier:
-    """``labels`` has 0, 1, or -1 for the pool."""
+
+def cotrain(
+    bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS, rare: bool = False
+) -> Classifier:
+    """``labels`` has 0, 1, or -1 for the pool. ``rare`` is for a kind 1 of few documents that some
+    words give away."""
     known, pool = np.flatnonzero(labels >= 0), np.flatnonzero(labels < 0)
     aside = np.zeros(len(known), bool)
     for label in (0, 1):  # every so many of each kind
@@ -176,8 +218,9 @@ def cotrain(bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS
     held, start = known[aside], known[~aside]
     taught = {"text": (start, labels[start]), "page": (start, labels[start])}
     share = float(labels[start].mean())
+    base = float(np.log(share / (1 - share))) if rare and 0 < share < 1 else 0.0
     for turn in range(rounds + 1):
-        text = _fit_text(bins, first, *taught["text"])
+        text = _fit_text(bins, first, *taught["text"], rare)
         page = _fit_page(names, layout, *taught["page"])
         if turn == rounds or not len(pool):
             break
@@ -189,7 +232,7 @@ def cotrain(bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS
             order = np.argsort(odds, kind="stable")
             good, bad = max(1, int(pick * share)), max(1, int(pick * (1 - share)))
             chosen = np.r_[order[-good:], order[:bad]]
-            sure = np.abs(odds[chosen]) > 2
+            sure = (odds[chosen] > 2) | (odds[chosen] < min(base, 0.0) - 2)
             rows, told = pool[chosen[sure]], (odds[chosen[sure]] > 0).astype(float)
             old, old_labels = taught[view]
             new = ~np.isin(rows, old)
@@ -201,6 +244,7 @@ def cotrain(bins, first, names, layout, labels: np.ndarray, rounds: int = ROUNDS
         page,
         _calibrate(text.odds(bins, first)[held], labels[held]),
         _calibrate(page.odds(names, layout)[held], labels[held]),
+        base if rare else None,
     )
 
 
@@ -211,11 +255,12 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("label"),
+                batch.column("toxic"),
                 pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(bins, pa.int32())),
                 pa.array(named.tolist(), pa.list_(pa.int32())),
                 pa.array(layout.tolist(), pa.list_(pa.float64())),
             ],
-            names=["label", "bins", "names", "layout"],
+            names=["label", "toxic", "bins", "names", "layout"],
         )
 
 
@@ -227,11 +272,19 @@ def train(
     labelled: int = LABELLED,
     pool: int = POOL,
     rounds: int = ROUNDS,
-) -> Classifier | None:
-    """None if the labelled documents are not of both kinds."""
-    good = F.col("quality") == 1
-    told = labels.where(F.col(id).isNotNull() & F.col("quality").isNotNull())
-    told = told.groupBy(F.col(id).alias("doc_id")).agg(F.min(good.cast("int")).alias("label"))
+) -> Judges | None:
+    """None if the labelled documents are of both kinds neither in quality nor in toxicity."""
+    toxic = F.col("toxic") if "toxic" in labels.columns else F.lit(None).cast("int")
+    told = labels.select(
+        F.col(id).alias("doc_id"),
+        (F.col("quality") == 1).cast("int").alias("good"),
+        (toxic == 1).cast("int").alias("toxic"),
+    )
+    told = told.where("doc_id IS NOT NULL AND (good IS NOT NULL OR toxic IS NOT NULL)")
+    told = told.groupBy("doc_id").agg(
+        F.coalesce(F.min("good"), F.lit(-1)).alias("label"),
+        F.coalesce(F.max("toxic"), F.lit(-1)).alias("toxic"),
+    )
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     view = docs.select(
         F.col(id).alias("doc_id"),
@@ -244,7 +297,8 @@ def train(
     ids = view.select("doc_id").where("doc_id is not null")
     some = told.join(ids.distinct(), "doc_id").orderBy(*by_hash).limit(labelled)
     rest = ids.distinct().join(told, "doc_id", "left_anti").orderBy(*by_hash).limit(pool)
-    wanted = some.unionByName(rest.withColumn("label", F.lit(-1)))  # bounded by the two parameters
+    rest = rest.withColumns({"label": F.lit(-1), "toxic": F.lit(-1)})
+    wanted = some.unionByName(rest)  # bounded by the two parameters
     met = view.join(F.broadcast(wanted), "doc_id")
     # Of a repeated id one row is enough, whichever text comes first; so the driver's rows are bounded.
     one = met.groupBy("doc_id").agg(F.min(F.xxhash64("text", "source", "lang")).alias("_one"))
@@ -252,33 +306,40 @@ def train(
         met.join(F.broadcast(one), "doc_id")
         .where(F.xxhash64("text", "source", "lang") == F.col("_one"))
         .dropDuplicates(["doc_id"])
-        .mapInArrow(_extracted, "label int, bins array<int>, names array<int>, layout array<double>")
+        .mapInArrow(_extracted, "label int, toxic int, bins array<int>, names array<int>, layout array<double>")
         .toArrow()
         .combine_chunks()
     )
-    label = rows.column("label").to_numpy().astype(float)
-    if not len(label) or {0.0, 1.0} - set(label.tolist()):
+    told = [rows.column(name).to_numpy().astype(float) for name in ("label", "toxic")]
+    judged = [not {0.0, 1.0} - set(one.tolist()) for one in told]
+    if not any(judged):
         return None
     column = rows.column("bins").combine_chunks()
     first = np.r_[0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))].astype(np.int64)
     bins = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     names = np.array(rows.column("names").to_pylist(), np.int64)
     layout = np.array(rows.column("layout").to_pylist(), float)
-    order = np.lexsort((*layout.T, label))  # the same training whatever order the rows came in
+    order = np.lexsort((*layout.T, *told[::-1]))  # the same training whatever order the rows came in
     n = np.diff(first)[order]
     at = np.repeat(first[:-1][order] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-    return cotrain(bins[at], np.r_[0, np.cumsum(n)], names[order], layout[order], label[order], rounds)
+    given = bins[at], np.r_[0, np.cumsum(n)], names[order], layout[order]
+    return Judges(
+        *[
+            cotrain(*given, one[order], rounds, rare) if of_both else None
+            for one, of_both, rare in zip(told, judged, (False, True), strict=True)
+        ]
+    )
 
 
-def score(docs: DataFrame, classifier: Classifier | None, *, prefix: str = "") -> DataFrame:
-    """The documents with ``p_text``, ``p_page`` and ``p_good``, whose names begin with ``prefix``;
-    columns of the documents that have these names are refused."""
-    names = [prefix + name for name in ("p_text", "p_page", "p_good")]
+def score(docs: DataFrame, judges: Judges | None, *, prefix: str = "") -> DataFrame:
+    """The documents with ``p_text``, ``p_page``, ``p_good`` and ``p_toxic``, whose names begin with
+    ``prefix``; columns of the documents that have these names are refused."""
+    names = [prefix + name for name in ("p_text", "p_page", "p_good", "p_toxic")]
     if clash := set(names) & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are reserved here")
-    if classifier is None:
+    if judges is None:
         return docs.withColumns({n: F.lit(None).cast("double") for n in names})
-    held = docs.sparkSession.sparkContext.broadcast(classifier)
+    held = docs.sparkSession.sparkContext.broadcast(judges)
     schema = StructType([StructField(f.name, f.dataType) for f in docs.schema])
     for n in names:
         schema = schema.add(n, "double")
@@ -290,8 +351,9 @@ def score(docs: DataFrame, classifier: Classifier | None, *, prefix: str = "") -
                 batch.column(k).cast(pa.string()).to_pylist() if k in batch.schema.names else [None] * n
                 for k in ("source", "lang")
             ]
-            odds = held.value.score(*features(batch.column("text"), *named))
-            columns = [*batch.columns, *map(pa.array, odds)]
+            found = held.value.score(*features(batch.column("text"), *named))
+            found = [pa.nulls(n, pa.float64()) if p is None else pa.array(p) for p in found]
+            columns = [*batch.columns, *found]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
@@ -299,4 +361,5 @@ def score(docs: DataFrame, classifier: Classifier | None, *, prefix: str = "") -
 
 def kept(*, prefix: str = "") -> Column:
     """Whether a scored document stays."""
-    return F.coalesce(F.col(f"{prefix}p_good") >= 0.5, F.lit(True))
+    good, toxic = F.col(f"{prefix}p_good") >= 0.5, F.col(f"{prefix}p_toxic") >= 0.5
+    return F.coalesce(good, F.lit(True)) & ~F.coalesce(toxic, F.lit(False))

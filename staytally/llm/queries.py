@@ -58,10 +58,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
-    classifier = cotraining.train(documents, _table(spark, sf_dir, "labels"))
-    scored = cotraining.score(documents.select("doc_id", "text", "source", "lang"), classifier)
+    judges = cotraining.train(documents, _table(spark, sf_dir, "labels"))
+    scored = cotraining.score(documents.select("doc_id", "text", "source", "lang"), judges)
     return scored.select(
-        "doc_id", "p_text", "p_page", "p_good", cotraining.kept().alias("kept")
+        "doc_id", "p_text", "p_page", "p_good", "p_toxic", cotraining.kept().alias("kept")
     )
 
 

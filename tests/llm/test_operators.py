@@ -530,6 +530,56 @@ def test_quality_classifier(spark):
     assert cotraining.score(docs.limit(0), classifier).count() == 0
 
 
+def test_toxic_documents_go(spark):
+    """Documents that no label shows, told by one foul word in 5 to 200 others."""
+    rows, labels, foul = [], [], {}
+    for i in range(480):
+        held = text_of(5 + i % 195).split()
+        foul[i] = i % 8 == 0
+        if foul[i]:
+            held.insert(len(held) // 2, ("vile", "rotten")[i % 3 == 0])
+        rows.append((i, " ".join(held), f"s{i % 5}", "en"))
+        if i < 320:
+            labels.append((i, None if i % 2 else 1, int(foul[i])))
+    rows += [(900, None, None, None), (901, "", "s1", "en"), (None, "vile", "s1", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    told = spark.createDataFrame([*labels, (1, 1, None)], "doc_id long, quality int, toxic int")
+    judges = cotraining.train(docs, told)
+    assert judges.good is None and judges.toxic is not None
+    got = cotraining.score(docs, judges).withColumn("stays", cotraining.kept()).collect()
+    assert len(got) == 483 and all(r.p_good is None and 0 <= r.p_toxic <= 1 for r in got)
+    unseen = [r for r in got if r.doc_id is not None and 320 <= r.doc_id < 480]
+    assert np.mean([not r.stays for r in unseen if foul[r.doc_id]]) > 0.9
+    assert np.mean([r.stays for r in unseen if not foul[r.doc_id]]) > 0.98
+    assert all(r.stays == (r.doc_id is not None) for r in got if r.doc_id not in foul)
+    assert cotraining.train(docs, told.drop("toxic")) is None
+    twice = told.unionByName(spark.createDataFrame([(1, 1, 1)], told.schema))  # a toxic label wins
+    assert cotraining.train(docs, twice.where("doc_id = 1 OR doc_id = 2")).toxic is not None
+
+
+def test_text_view_of_a_rare_kind_equals_a_plain_one():
+    texts = [f"{text_of(4 + i % 9)} {'foul' if i % 6 == 0 else ''}" for i in range(60)]
+    bins, first, _, _ = cotraining.features(pa.array(texts), ["s"] * 60, ["en"] * 60)
+    truth = np.array([float(i % 6 == 0) for i in range(40)])
+    view = cotraining._fit_text(bins, first, np.arange(40), truth, True)
+    own = [set(bins[first[d] : first[d + 1]].tolist()) for d in range(60)]
+    used = sorted(set().union(*own[:40]))
+    x = np.zeros((60, len(used) + 1))
+    x[:, -1] = 1
+    for at, word in enumerate(used):
+        foul = sum(word in own[d] for d in range(40) if truth[d]) + 1
+        other = sum(word in own[d] for d in range(40) if not truth[d]) + 1
+        scale = abs(math.log(foul / (truth.sum() + 2)) - math.log(other / (40 - truth.sum() + 2)))
+        for d in range(60):
+            x[d, at] = scale * (word in own[d]) / math.sqrt(len(own[d]))
+    weight, seen = np.zeros(len(used) + 1), np.full(len(used) + 1, 1e-8)
+    for _ in range(cotraining.RARE_STEPS):
+        slope = x[:40].T @ (1 / (1 + np.exp(-(x[:40] @ weight))) - truth) / 40 + 1e-6 * weight
+        seen += slope**2
+        weight -= 0.5 * slope / np.sqrt(seen)
+    assert view.odds(bins, first) == pytest.approx(x @ weight, abs=1e-6)
+
+
 def _short_pages():
     """Pages of some blocks, none with the element that names an article."""
     bodies = [

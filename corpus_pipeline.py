@@ -44,8 +44,8 @@ def _stage(function: Stage) -> Stage:
 
 @_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier rejects go. An empty or null text is judged by its
-    source and language; where no labels of both kinds are given, all stay."""
+    """Documents that the co-trained classifiers reject as bad or as toxic go. An empty or null text is
+    judged by its source and language; where no labels of both kinds are given, all stay."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = cotraining.score(docs, cotraining.train(docs, labels))
     return scored.where(cotraining.kept()).select(docs.columns)

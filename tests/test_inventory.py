@@ -89,3 +89,92 @@ def test_a_row_carries_the_first_fault_it_has(spark):
     assert found == {
         "bad id": "bad_hotel_id", "mill.2": "no_rooms", "quay-9": "bad_room_id", "pier": "repeated_room",
     }
+
+
+ODD = [
+    {"hotel_id": 'a"}],[{\\', "room_type_ids": ["}", "{", "\\", " ü"]},
+    {"hotel_id": "b", "room_type_ids": []},
+    {"hotel_id": "b", "room_type_ids": [None, {"x": [{}]}, "r"]},
+]
+
+
+def test_a_document_is_read_whatever_its_lines_and_texts(spark, tmp_path):
+    wanted = sorted((e["hotel_id"], [r if isinstance(r, str) else None for r in e["room_type_ids"]]) for e in ODD)
+    for text in (json.dumps({"hotels": ODD}), json.dumps({"hotels": ODD}, indent=1, ensure_ascii=False).replace("\n", "\r\n\t")):
+        read = _read(spark, tmp_path, text)
+        assert sorted(((r.hotel_id, r.room_type_ids) for r in read.collect()), key=str) == sorted(wanted, key=str)
+
+
+def test_an_inventory_of_one_long_line_is_not_carried_with_every_entry(spark, tmp_path):
+    """Before, every entry's row held the list of all: 12,000 entries took more than 6 GB."""
+    entries = [{"hotel_id": f"h{n}", "room_type_ids": ["single", "double", "suite"]} for n in range(12_000)]
+    read = _read(spark, tmp_path, json.dumps({"hotels": entries}))
+    assert sorted(r.hotel_id for r in read.collect()) == sorted(e["hotel_id"] for e in entries)
+
+
+def test_an_inventory_is_written_in_parts_and_read_as_one_document(spark, tmp_path):
+    entries = [(f"h{n % 2_000}", ["single", 'a"}']) for n in range(9_000)]
+    merged = "spark.sql.adaptive.coalescePartitions.enabled"  # else so little text is one part
+    spark.conf.set(merged, "false")
+    try:
+        I.write_hotels(spark.createDataFrame(entries, "hotel_id string, room_type_ids array<string>"), str(tmp_path / "parts"))
+    finally:
+        spark.conf.unset(merged)
+    files = sorted((tmp_path / "parts").glob("part-*"))
+    assert len(files) > 1
+    document = json.loads("".join(file.read_text() for file in files))
+    told = [(e["hotel_id"], e["room_type_ids"]) for e in document["hotels"]]
+    assert list(document) == ["hotels"] and told == sorted(entries)
+    assert listed(I.read_hotels(spark, str(tmp_path / "parts"), parts=True)) == sorted(entries)
+    with pytest.raises(SnapshotError):  # each of them alone is no document
+        I.read_hotels(spark, str(tmp_path / "parts"))
+    files[-1].unlink()
+    with pytest.raises(SnapshotError):
+        I.read_hotels(spark, str(tmp_path / "parts"), parts=True)
+
+
+def test_an_empty_inventory_is_refused_in_parts_too(spark, tmp_path):
+    nothing = spark.createDataFrame([], "hotel_id string, room_type_ids array<string>")
+    I.write_hotels(nothing, str(tmp_path / "parts"))
+    with pytest.raises(SnapshotError):
+        I.read_hotels(spark, str(tmp_path / "parts"), parts=True)
+
+
+def test_every_file_is_a_document(spark, tmp_path):
+    for name, entry in zip("ab", ENTRIES, strict=True):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"hotels": [entry]}))
+    assert listed(I.read_hotels(spark, str(tmp_path))) == sorted((e["hotel_id"], e["room_type_ids"]) for e in ENTRIES)
+    (tmp_path / "c.json").write_text("")
+    with pytest.raises(SnapshotError):
+        I.read_hotels(spark, str(tmp_path))
+
+
+ONE = '{"hotel_id": "a", "room_type_ids": ["r"]}'
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f'{{"hotels": [{ONE}]',
+        f'{{"hotels": [{ONE}',
+        f'{{"hotels": [{ONE} {ONE}]}}',
+        f'{{"hotels": [{ONE},]}}',
+        f'{{"hotels": [,{ONE}]}}',
+        f'{{"hotels": [{ONE},,{ONE}]}}',
+        f'{{"hotels": [{ONE}, 1]}}',
+        f'{{"hotels": [1, {ONE}]}}',
+        f'{{"hotels": [{ONE}]}} {{"hotels": [{ONE}]}}',
+        f'{{"hotels": [{ONE}], "hotels": [{ONE}]}}',
+        f'{{"hotels": [{ONE}, 1], "hotels": [{ONE}]}}',
+        f'{{"hotels": [{ONE}}}]',
+        f'{{"hotels": [{ONE}]}}{{',
+        f'{{"hotels": [{ONE}]}}"',
+        f'{{"hotels": [{ONE}, {{"hotel_id": "b", "room_type_ids": [tr\nue]}}]}}',
+        f'{{"hotels": [{ONE}, {{"hotel_id": "b\n", "room_type_ids": []}}]}}',
+        f'{{"hotels": [{ONE}, {{"hotel_id": "b", "room_type_ids": ["\\}}"]}}]}}',
+        f'{{"hotels": [{ONE}]}}'.encode().replace(b'"a"', b'"\xff"'),
+    ],
+)
+def test_a_list_that_breaks_between_entries_is_refused(spark, tmp_path, text):
+    with pytest.raises(SnapshotError):
+        _read(spark, tmp_path, text)

@@ -742,10 +742,8 @@ def page_files(spark: SparkSession, folder: str) -> DataFrame:
 def inventory_file(spark: SparkSession, folder: str) -> DataFrame:
     """The supplier inventory as one configuration document, written and read back."""
     path = f"{Workspace(spark).path}/hotels"
-    entries = F.sort_array(F.collect_list(F.struct("hotel_id", "room_type_ids"))).alias("hotels")
-    document = supplier_hotels(spark, folder).agg(entries).select(F.to_json(F.struct("hotels")))
-    document.write.text(path)
-    return inventory.expected_rooms(inventory.read_hotels(spark, path))
+    inventory.write_hotels(supplier_hotels(spark, folder), path)
+    return inventory.expected_rooms(inventory.read_hotels(spark, path, parts=True))
 
 
 @query

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 
 from samples import hotels, listed, page, pages
+from staytally import SnapshotError
 from staytally.functions import strict_json as J
 from staytally.plans.acceptance import synthetic_pages
 from staytally.operators.ranking import number_rows
@@ -173,3 +174,52 @@ def test_bodies_that_are_not_utf8_are_refused_and_not_repaired(spark, tmp_path):
         (folder / "body").write_bytes(b'{"items": [], "next_cursor": "' + b"a" + tail + b'"}')
     decoded = P.decode_pages(P.read_page_files(spark, str(tmp_path / "raw")))
     assert {r.page_seq: r.page_rule for r in decoded.collect()} == {1: None, 2: "not_json", 3: "not_json"}
+
+
+def test_page_files_keep_any_identifier_and_every_page(spark, tmp_path):
+    names = ["007", "a b", "%", "%41", "a%2Fb", "x/y:z=?*[{^]}", "é\u20ac", "..", "__", "", None, "%E9", "\t\"\\#'"]
+    rows = [(name, seq, cursor, f"{n} {seq}") for n, name in enumerate(names) for seq, cursor in ((1, None), (2, "c/1"), (2, "+%"))]
+    rows += [("twin", 1, None, "same"), ("twin", 1, None, "same"), ("twin", 1, None, None)]
+    landed = spark.createDataFrame(rows, "hotel_id string, page_seq bigint, request_cursor string, body string")
+    P.write_page_files(landed, str(tmp_path / "raw"))
+    raw = [(r.hotel_id, r.page_seq, r.request_cursor, r.body) for r in P.read_page_files(spark, str(tmp_path / "raw")).collect()]
+    # Spark's folder names do not tell an empty value from none.
+    wanted = [(name or None, seq, cursor, f"{body or ''}\n") for name, seq, cursor, body in rows]
+    assert sorted(raw, key=str) == sorted(wanted, key=str)
+    # Spark itself reads the same values from these folders.
+    inferred = spark.read.schema("value string, hotel_id string, page_seq bigint, request_cursor string").text(str(tmp_path / "raw"))
+    told = {(r.hotel_id, r.page_seq, r.request_cursor) for r in inferred.collect()}
+    assert told == {row[:3] for row in wanted}
+    with pytest.raises(SnapshotError):
+        P.write_page_files(landed, str(tmp_path / "raw"))
+
+
+def test_page_files_of_spark_itself_are_read_alike(spark, tmp_path):
+    rows = [(name, 1, name, "b") for name in ["a b", "%41", "x/y:z=?*[{^]}", "é", "+"]]
+    landed = spark.createDataFrame(rows, "hotel_id string, page_seq bigint, request_cursor string, body string")
+    landed.write.partitionBy("hotel_id", "page_seq", "request_cursor").text(str(tmp_path / "raw"))
+    read = P.read_page_files(spark, str(tmp_path / "raw"))
+    assert sorted((r.hotel_id, r.page_seq, r.request_cursor, r.body.strip()) for r in read.collect()) == sorted(rows)
+
+
+def test_page_files_are_renamed_and_listed_by_few_tasks(spark, tmp_path):
+    """Before, Spark staged and renamed a folder per page, listed with a task per folder, and inferred a partition per page."""
+    rows = [(f"h{n}", 1, None, "{}") for n in range(200)]
+    landed = spark.createDataFrame(rows, "hotel_id string, page_seq bigint, request_cursor string, body string")
+    P.write_page_files(landed, str(tmp_path / "raw"))
+    assert not list((tmp_path / "raw").glob("**/.*"))
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        read = P.read_page_files(spark, str(tmp_path / "raw"))
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+        assert max(s.numTasks for s in stages if s) <= 4 * spark.sparkContext.defaultParallelism
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert read.count() == 200
+
+
+def test_no_page_files_are_written_and_read(spark, tmp_path):
+    nothing = spark.createDataFrame([], "hotel_id string, page_seq bigint, request_cursor string, body string")
+    P.write_page_files(nothing, str(tmp_path / "raw"))
+    assert P.read_page_files(spark, str(tmp_path / "raw")).collect() == []

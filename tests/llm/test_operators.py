@@ -530,6 +530,17 @@ def test_quality_classifier(spark):
     assert cotraining.score(docs.limit(0), classifier).count() == 0
 
 
+def test_the_driver_does_not_learn_the_sample(spark, monkeypatch):
+    """Before, the driver held the sample's words and learnt them itself."""
+    rows = [(i, f"good words {text_of(5 + i % 7)}" if i % 2 else f"bad ones {text_of(5 + i % 7)}", "en", "web") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    told = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    here = []
+    monkeypatch.setattr(cotraining, "cotrain", lambda *_: here.append("learnt"))
+    assert cotraining.train(docs, told).good is not None
+    assert not here
+
+
 def test_toxic_documents_go(spark):
     """Documents that no label shows, told by one foul word in 5 to 200 others."""
     rows, labels, foul = [], [], {}

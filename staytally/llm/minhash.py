@@ -6,10 +6,11 @@
    components proposes one centre, the class with the most links so far, with each class of
    another component: never all pairs. Proposals pass on signatures, then are confirmed on
    full sets, and components are found anew.
-3. Once the pairs left across components are ``PAIRS_A_MEMBER`` for a bucket's member on average,
-   or a round no longer lessens them, each such bucket compares its classes in blocks: signatures
-   and full sets travel a class and block, never a pair, and only links come out. No link between
-   different texts that share a bucket is lost.
+3. A round joins each bucket's members once, whatever a bucket holds. Once the pairs left across
+   components are ``PAIRS_A_MEMBER`` for a bucket's member on average, or a round lessens them by
+   no more than that or by less than a tenth, each such bucket compares its classes in blocks:
+   signatures and full sets travel a class and block, never a pair, and only links come out. No
+   link between different texts that share a bucket is lost.
 
 Buckets that hold exactly the same classes are one bucket (told by 128 bits of their members).
 
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from staytally.llm import words as W
 from staytally.llm.components import components
@@ -247,6 +248,12 @@ def _with_both(pairs: DataFrame, side: DataFrame, value: str, *more: str) -> Dat
     return pairs.join(x, "a").join(y, "b")
 
 
+def _mixed(spread: DataFrame, of: Column) -> DataFrame:
+    """An aggregate of each bucket that spans several components."""
+    found = spread.groupBy("bucket").agg(of, F.min("root").alias("l"), F.max("root").alias("h"))
+    return found.where("l <> h").drop("l", "h")
+
+
 class _Linker:
     """Confirms proposed pairs of classes, and finds components of the links."""
 
@@ -284,23 +291,20 @@ class _Linker:
                 roots.withColumnRenamed("node", "rep"), "rep", "left"
             )
             of = of.select("digest", "n", F.coalesce("root", "rep").alias("root"))
-            spread = members.join(of, "digest")
-            mixed = spread.groupBy("bucket").agg(F.min("root").alias("l"), F.max("root").alias("h"))
-            mixed = mixed.where("l <> h").select("bucket")
-            left = land(spread.join(mixed, "bucket", "left_semi"), "mixed")
-            counts = left.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
+            spread = land(members.join(of, "digest"), "spread")
+            counts = spread.groupBy("bucket", "root").agg(F.count("*").cast("double").alias("c"))
             counts = counts.groupBy("bucket").agg((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)).alias("c"))
             pairs = counts.agg(F.sum("c") / 2).first()[0]
             if not pairs:
                 return roots
             known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-            few = links is not None and pairs <= PAIRS_A_MEMBER * limit
-            if few or (before is not None and pairs > 0.9 * before):
-                new = self._across(left)
+            cost = PAIRS_A_MEMBER * limit
+            if before is not None and (min(pairs, before - pairs) <= cost or pairs > 0.9 * before):
+                new = self._across(spread)
                 return components(known.unionByName(self.edges(new)), self.scratch)
-            centres = self._centres(left, links, used)
+            centres = self._centres(spread, links, used)
             used = centres if used is None else land(used.unionByName(centres), "used")
-            proposed = left.join(centres, "bucket").where("root <> centre_root")
+            proposed = spread.join(centres, "bucket").where("root <> centre_root")
             proposed = proposed.select(
                 F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")
             ).distinct()
@@ -313,29 +317,30 @@ class _Linker:
             roots = components(known.unionByName(self.edges(new)), self.scratch)
             before = pairs
 
-    def _centres(self, left: DataFrame, links: DataFrame | None, used: DataFrame | None) -> DataFrame:
-        """Of each bucket the class with the most links that was no centre there yet."""
+    def _centres(self, spread: DataFrame, links: DataFrame | None, used: DataFrame | None) -> DataFrame:
+        """Of each bucket of several components the class with the most links that was no centre
+        there yet."""
         if links is None:
-            left = left.withColumn("degree", F.lit(0).cast("long"))
+            spread = spread.withColumns({"degree": F.lit(0).cast("long"), "was": F.lit(None).cast("boolean")})
         else:
             degrees = links.select(F.explode(F.array("a", "b")).alias("digest"))
             degrees = degrees.groupBy("digest").agg(F.count("*").alias("degree"))
-            left = left.join(degrees, "digest", "left").fillna(0, ["degree"])
-            left = left.join(
-                used.select("bucket", F.col("centre").alias("digest")), ["bucket", "digest"], "left_anti"
-            )
-        best = left.groupBy("bucket").agg(F.max(F.struct("degree", "digest", "root")).alias("best"))
+            spread = spread.join(degrees, "digest", "left").fillna(0, ["degree"])
+            was = used.select("bucket", F.col("centre").alias("digest"), F.lit(True).alias("was"))
+            spread = spread.join(was, ["bucket", "digest"], "left")
+        free = F.when(F.col("was").isNull(), F.struct("degree", "digest", "root"))
+        best = _mixed(spread, F.max(free).alias("best")).where("best is not null")
         best = best.select(
             "bucket", F.col("best.digest").alias("centre"), F.col("best.root").alias("centre_root")
         )
         return self.scratch.land(best, "centres")
 
-    def _across(self, left: DataFrame) -> DataFrame:
+    def _across(self, spread: DataFrame) -> DataFrame:
         """All links between components within a bucket; a bucket of several blocks is compared
         block by block."""
         blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
-        blocks = left.groupBy("bucket").agg(blocks.alias("blocks"))
-        rows = left.join(blocks, "bucket").withColumn("own", F.expr("pmod(xxhash64(digest), blocks)"))
+        blocks = _mixed(spread, blocks.alias("blocks"))
+        rows = spread.join(blocks, "bucket").withColumn("own", F.expr("pmod(xxhash64(digest), blocks)"))
         rows = rows.join(self.classes.select("digest", "signature"), "digest").join(self.sets, "digest")
         rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         rows = rows.select(

@@ -164,6 +164,59 @@ def test_near_duplicates(docs, odd, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def _joined(plan, key):
+    """Rows that the joins on this key alone made, of the plan that ran; those on a condition apart."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _joined(plan.executedPlan(), key)
+    if kind.endswith("QueryStageExec"):
+        return _joined(plan.plan(), key)
+    made = 0
+    if kind.endswith("JoinExec") and plan.leftKeys().size() == 1 and plan.leftKeys().apply(0).toString().startswith(f"{key}#"):
+        made = 0 if plan.condition().isDefined() else plan.metrics().apply("numOutputRows").value()
+    children = plan.children()
+    return made + sum(_joined(children.apply(i), key) for i in range(children.size()))
+
+
+def test_members_of_a_family_are_joined_once_whatever_rounds_it_takes(spark, monkeypatch):
+    """Near copies of one text that share buckets and link only here and there: the joins on a bucket
+    make its rows for the buckets and for the blocks, and none again for each round of centres."""
+    random = np.random.default_rng(11)
+    base, texts = [f"b{i}" for i in range(150)], []
+    for i in range(60):
+        own = list(base)
+        for at in random.choice(150, int(random.integers(1, 9)), replace=False):
+            own[at] = f"c{i}x{at}"
+        texts.append(" ".join(own))
+    sets = [{tuple(t.split()[k : k + 4]) for k in range(147)} for t in texts]
+    root = list(range(len(sets)))
+    for a, b in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[a] & sets[b])
+        if 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    assert 1 < len(set(root)) < len(sets)
+    monkeypatch.setattr(minhash, "PAIRS_A_MEMBER", 0)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    land, made, members, rounds = minhash.Scratch.land, [], [], []
+
+    def counted(self, frame, label, *args, **options):
+        if label in ("edges", "sketch", "sets"):
+            return land(self, frame, label, *args, **options)
+        frame.collect()
+        made.append(_joined(frame._jdf.queryExecution().executedPlan(), "bucket"))
+        landed = land(self, frame, label, *args, **options)
+        members.extend([landed.count()] if label == "members" else [])
+        rounds.extend([1] if label == "centres" else [])
+        return landed
+
+    monkeypatch.setattr(minhash.Scratch, "land", counted)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame, shingle=4).collect()}
+    assert got == dict(enumerate(root))
+    assert len(rounds) > 1 and members[0] < sum(made) <= 2 * members[0]
+
+
 def test_mixture(docs, odd, nothing):
     rows = mixing.mix_sources(docs).collect()
     assert sorted(r.doc_id for r in rows) == list(range(len(TEXTS)))
